@@ -97,7 +97,10 @@ def qcut_rank_bins(
         F.count(F.lit(1)).cast("long").alias("__n"), F.countDistinct(value).cast("long").alias("__d")
     )
     ranked = rank_first(df.where(F.col(value).isNotNull()), value, id_col, keys, out="__r")
-    j = ranked.join(F.broadcast(stats), keys, "inner") if keys else ranked.crossJoin(F.broadcast(stats))
+    on = keys or ["__one"]
+    if not keys:  # one global stats row, attached by a constant key
+        ranked, stats = ranked.withColumn("__one", F.lit(1)), stats.withColumn("__one", F.lit(1))
+    j = ranked.join(F.broadcast(stats), on, "inner").drop("__one")
     j = j.withColumn("__q", F.least(F.lit(max_bins), F.greatest(F.lit(2), F.col("__d"))).cast("long"))
     b = F.expr("CASE WHEN __n <= 1 THEN 0 ELSE greatest(((__r - 1) * __q + __n - 2) div (__n - 1) - 1, 0) END")
     return j.withColumn(out, b.cast("long")).drop("__n", "__d", "__r", "__q")
