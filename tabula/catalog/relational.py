@@ -139,7 +139,7 @@ WHERE p_brand IN (SELECT p_brand FROM part WHERE p_retailprice > 1090)""",
 )
 def q_set_membership(spark, sf):
     part = load(spark, sf, "part")
-    expensive = part.where(F.col("p_retailprice") > 1900).select("p_brand")
+    expensive = part.where(F.col("p_retailprice") > 1090).select("p_brand")
     return R.set_membership(part.select("p_partkey", "p_brand"), "p_brand", expensive)
 
 
