@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,8 @@ def query(name: str, op_id: str, sql: str | None = None):
         QUERIES[name] = fn
         OPERATOR_IDS[name] = op_id
         if sql is not None:
-            ORACLE[name] = sql.strip()
+            # "column" is reserved in DuckDB: quote the long-layout column name.
+            ORACLE[name] = re.sub(r'(?<!["\w])column(?!["\w])', '"column"', sql.strip())
         return fn
 
     return deco

@@ -13,6 +13,12 @@ exact quantiles, KS) instead goes through :func:`row_number_by`:
    ``P`` partitions and ``G`` groups, gives each group's offset per partition by
    a prefix sum; it is broadcast back (``G`` bounded, see ``groups_bounded``).
 
+The range-sorted rows are written once with a reliable ``checkpoint`` into
+``spark.checkpoint.dir`` before both uses: Spark seeds the range sampler with
+the RDD id, so two separately planned uses of the same range repartition may
+draw different bounds. Reading one written copy keeps partition ids and
+positions identical for the counts and the rows, and survives executor loss.
+
 The result is the exact ``row_number`` with one range shuffle and no task that
 holds more than one range partition.
 """
@@ -24,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shuffle_partitions
+from ..session import cut_lineage, shuffle_partitions
 
 
 def _cols(xs: Sequence[str | Column]) -> list[Column]:
@@ -58,6 +64,7 @@ def row_number_by(
         .withColumn("__pid", F.spark_partition_id())
         .withColumn("__mid", F.monotonically_increasing_id())
     )
+    x = cut_lineage(x)
     stats = x.groupBy("__pid", *keys).agg(
         F.count(F.lit(1)).alias("__cnt"), F.min("__mid").alias("__first")
     )
