@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import core, profiles, relational  # noqa: F401  (registration side effects)
+from . import cleaning, core, profiles, relational  # noqa: F401  (registration side effects)
 from .registry import OPERATOR_IDS, ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE", "OPERATOR_IDS"]
