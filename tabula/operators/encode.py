@@ -51,8 +51,8 @@ def first_seen_codes(df: DataFrame, c: str, seq: str, out: str = "code") -> Data
 
     Returns the code table (value, code); NULL values are skipped like pandas.
     """
-    first = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.min(seq).alias("__first"))
-    return row_number_by(first, [], ["__first", c], out=out).select(c, (F.col(out) - 1).cast("long").alias(out))
+    first = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.min(seq).alias("__seen"))
+    return row_number_by(first, [], ["__seen", c], out=out).select(c, (F.col(out) - 1).cast("long").alias(out))
 
 
 def label_classes(train: DataFrame, c: str, out: str = "code") -> DataFrame:
