@@ -61,29 +61,29 @@ def row_number_by(
     x = (
         df.repartitionByRange(n, *_cols(keys), *_cols(order))
         .sortWithinPartitions(*_cols(keys), *_cols(order))
-        .withColumn("__pid", F.spark_partition_id())
-        .withColumn("__mid", F.monotonically_increasing_id())
+        .withColumn("__rk_pid", F.spark_partition_id())
+        .withColumn("__rk_mid", F.monotonically_increasing_id())
     )
     x = cut_lineage(x)
-    stats = x.groupBy("__pid", *keys).agg(
-        F.count(F.lit(1)).alias("__cnt"), F.min("__mid").alias("__first")
+    stats = x.groupBy("__rk_pid", *keys).agg(
+        F.count(F.lit(1)).alias("__rk_cnt"), F.min("__rk_mid").alias("__rk_first")
     )
-    before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("__before", F.coalesce(F.sum("__cnt").over(before), F.lit(0)))
+    before = Window.partitionBy(*keys).orderBy("__rk_pid").rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.withColumn("__rk_before", F.coalesce(F.sum("__rk_cnt").over(before), F.lit(0)))
     # Renamed copies of the keys so that NULL keys match null-safely.
     s = stats.select(
-        F.col("__pid").alias("__spid"),
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        "__first",
-        "__before",
+        F.col("__rk_pid").alias("__rk_spid"),
+        *[F.col(k).alias(f"__rk_k{i}") for i, k in enumerate(keys)],
+        "__rk_first",
+        "__rk_before",
     )
-    cond = x["__pid"] == s["__spid"]
+    cond = x["__rk_pid"] == s["__rk_spid"]
     for i, k in enumerate(keys):
-        cond = cond & x[k].eqNullSafe(s[f"__k{i}"])
+        cond = cond & x[k].eqNullSafe(s[f"__rk_k{i}"])
     joined = x.join(F.broadcast(s), cond, "inner")
     return joined.withColumn(
-        out, (F.col("__mid") - F.col("__first") + F.col("__before") + F.lit(1)).cast("long")
-    ).drop("__pid", "__mid", "__spid", "__first", "__before", *[f"__k{i}" for i in range(len(keys))])
+        out, (F.col("__rk_mid") - F.col("__rk_first") + F.col("__rk_before") + F.lit(1)).cast("long")
+    ).drop("__rk_pid", "__rk_mid", "__rk_spid", "__rk_first", "__rk_before", *[f"__rk_k{i}" for i in range(len(keys))])
 
 
 def group_counts(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFrame:
