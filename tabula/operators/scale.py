@@ -91,16 +91,19 @@ def scaler_stats(long: DataFrame, keys: Sequence[str] = (), tiebreak: str | None
     KS needs the sorted sample: ranks come from the skew-safe row numbering.
     """
     keys = list(keys)
-    v = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    st = v.groupBy(*keys, "column").agg(
-        F.count(F.lit(1)).cast("long").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.avg((F.col("value") == 0).cast("double")).alias("zero_ratio"),
-        F.kurtosis("value").alias("__k"),
+    valid = F.col("value").isNotNull() & ~F.isnan("value")
+    x = F.when(valid, F.col("value"))
+    # aggregate over all rows so that an all-NULL column still gets a row (n = 0)
+    st = long.groupBy(*keys, "column").agg(
+        F.count(x).cast("long").alias("n"),
+        F.avg(x).alias("mean"),
+        F.stddev_samp(x).alias("std"),
+        F.min(x).alias("min"),
+        F.max(x).alias("max"),
+        F.avg((x == 0).cast("double")).alias("zero_ratio"),
+        F.kurtosis(x).alias("__k"),
     ).withColumn("kurtosis", kurtosis_g2(F.col("n"), F.col("__k"))).drop("__k")
+    v = long.where(valid)
     order = ["value"] + ([tiebreak] if tiebreak else [])
     ranked = row_number_by(v, [*keys, "column"], order, out="__i")
     j = ranked.join(F.broadcast(st.select(*keys, "column", "n", "mean", "std")), [*keys, "column"])
