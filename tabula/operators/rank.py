@@ -91,6 +91,17 @@ def group_counts(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFram
     return df.groupBy(*keys).agg(F.count(F.lit(1)).cast("long").alias(out))
 
 
+# Groups × buckets of quantile metadata reach the driver; more groups than this is refused.
+MAX_QUANTILE_GROUPS = 100_000
+
+
+def _group_key(keys: Sequence[str]) -> Column:
+    """One text key per group (NULL-safe) for literal lookups."""
+    if not keys:
+        return F.lit("")
+    return F.concat_ws("\u0001", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys])
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -98,62 +109,115 @@ def exact_quantiles(
     probs: Sequence[float],
     tiebreak: str | None = None,
     names: Sequence[str] | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Exact linear-interpolation quantiles per group (pandas / ``quantile_cont``).
 
-    NULL and NaN values are ignored. The values at ranks ``floor((n-1)p)+1`` and
-    ``ceil((n-1)p)+1`` are picked from the ranked rows by a broadcast equi-join on
-    (group, rank), so no group is gathered into one task. Output: keys + one
-    column per probability (``names`` or ``q_<p>``).
+    NULL and NaN are ignored. Three passes, none of which sorts the table:
+
+    1. ``percentile_approx`` per group gives B-1 bucket boundaries (a mergeable
+       sketch; the G×B numbers are collected once and used as literals, so every
+       later pass sees the same buckets);
+    2. exact count/min/max per (group, bucket) by partial aggregation. A row equal
+       to a boundary value goes to that value's own point bucket, so a heavily
+       repeated value never inflates an interval bucket;
+    3. only the interval buckets holding a wanted rank (≈ n/B rows each) are
+       filtered and ranked exactly with a window; point buckets and buckets with
+       min = max answer directly.
+
+    ``tiebreak`` is accepted for interface compatibility; quantile values do not
+    depend on how ties are ordered.
     """
+    import bisect
+    import math
+
+    spark = df.sparkSession
     keys = list(keys)
     names = list(names) if names else [f"q_{str(p).replace('.', '_')}" for p in probs]
+    b = buckets or max(16, 2 * shuffle_partitions(spark))
+    gk = _group_key(keys)
     v = F.col(value).cast("double")
-    clean = df.select(*keys, v.alias("__v"), *([F.col(tiebreak).alias("__t")] if tiebreak else [])).where(
-        F.col("__v").isNotNull() & ~F.isnan("__v")
-    )
-    order = ["__v"] + (["__t"] if tiebreak else [])
-    ranked = row_number_by(clean, keys, order, out="__r")
-    counts = group_counts(clean, keys, "__n")
-    # Wanted positions: (group, prob index, side, rank), a table of G * len(probs) * 2 rows.
-    pos_rows = []
-    for i, p in enumerate(probs):
-        h = (F.col("__n") - 1).cast("double") * F.lit(float(p))
-        pos_rows.append(
-            F.struct(
-                F.lit(i).alias("__i"),
-                (F.floor(h) + 1).cast("long").alias("__lo"),
-                (F.ceil(h) + 1).cast("long").alias("__hi"),
-                (h - F.floor(h)).alias("__frac"),
-            )
-        )
-    wanted = counts.select(*keys, F.explode(F.array(*pos_rows)).alias("__p")).select(*keys, "__p.*")
-    sides = wanted.select(
-        *keys, "__i", "__frac", "__lo", "__hi", F.explode(F.array_distinct(F.array("__lo", "__hi"))).alias("__pos")
+    allrows = df.select(*keys, gk.alias("__gk"), F.when(v.isNotNull() & ~F.isnan(v), v).alias("__v"))
+    clean = allrows.where(F.col("__v").isNotNull())
+    inner = [i / b for i in range(1, b)]
+    # pass 1 over all rows (so groups without values still appear); keys come back with the sketch
+    sketch = allrows.groupBy("__gk").agg(
+        F.percentile_approx("__v", inner, 10_000).alias("__b"), *[F.first(k).alias(k) for k in keys]
+    ).limit(MAX_QUANTILE_GROUPS + 1).collect()
+    if len(sketch) > MAX_QUANTILE_GROUPS:
+        raise ValueError("too many groups for exact quantiles")
+    key_vals = {r["__gk"]: tuple(r[k] for k in keys) for r in sketch}
+    bounds = {r["__gk"]: sorted(set(r["__b"])) for r in sketch if r["__b"] is not None}
+    # boundaries padded with NaN to a fixed width (NaN compares neither < v nor = v) and
+    # attached as plain columns by a broadcast hash join (G rows): the bucket is then an
+    # unrolled comparison sum inside whole-stage codegen
+    width = max([len(v) for v in bounds.values()] + [1])
+    nan = float("nan")
+    bt = spark.createDataFrame(
+        [(k, *[float(t) for t in v], *([nan] * (width - len(v)))) for k, v in bounds.items()],
+        ", ".join(["__gk string"] + [f"__b{i} double" for i in range(width)]),
     )
-    r = ranked.select(*[F.col(k).alias(f"__k{j}") for j, k in enumerate(keys)], "__r", "__v")
-    cond = sides["__pos"] == r["__r"]
-    for j, k in enumerate(keys):
-        cond = cond & sides[k].eqNullSafe(r[f"__k{j}"])
-    picked = r.join(F.broadcast(sides), cond, "inner")
-    per = picked.groupBy(*keys, "__i").agg(
-        F.max(F.when(F.col("__pos") == F.col("__lo"), F.col("__v"))).alias("__vlo"),
-        F.max(F.when(F.col("__pos") == F.col("__hi"), F.col("__v"))).alias("__vhi"),
-        F.first("__frac").alias("__frac"),
+    below = sum((F.col(f"__b{i}") < F.col("__v")).cast("int") for i in range(width))
+    equal = sum((F.col(f"__b{i}") == F.col("__v")).cast("int") for i in range(width))
+    tagged = clean.join(F.broadcast(bt), "__gk").select(
+        *keys, "__gk", "__v", (F.lit(2) * below + equal).alias("__bk")
     )
-    per = per.withColumn("__q", F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.col("__frac"))
-    out = per.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(nm) for i, nm in enumerate(names)]
-    )
-    if not keys:
-        return out
-    # Groups with no non-null value still appear, with NULL quantiles (pandas gives NaN).
-    all_groups = df.select(*keys).distinct()
-    cond2 = None
-    for k in keys:
-        c = all_groups[k].eqNullSafe(out[k])
-        cond2 = c if cond2 is None else cond2 & c
-    return all_groups.join(out, cond2, "left").select(*[all_groups[k] for k in keys], *[out[nm] for nm in names])
+    meta = tagged.groupBy("__gk", "__bk").agg(
+        F.count(F.lit(1)).alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi")
+    ).collect()
+    per_group: dict[str, list] = {}
+    for r in meta:
+        per_group.setdefault(r["__gk"], []).append((r["__bk"], r["n"], r["lo"], r["hi"]))
+    # locate each wanted rank: (group, bucket, local rank) or a direct value
+    direct: dict[tuple, float] = {}
+    need: dict[tuple, set] = {}
+    plan: dict[str, list] = {}
+    for g, rows in per_group.items():
+        rows.sort()
+        starts, acc = [], 0
+        for _, n, _, _ in rows:
+            starts.append(acc)
+            acc += n
+        total = acc
+        picks = []
+        for p in probs:
+            h = (total - 1) * float(p)
+            pair = []
+            for rank0 in (math.floor(h), math.ceil(h)):
+                i = bisect.bisect_right(starts, rank0) - 1
+                bk, n, lo, hi = rows[i]
+                local = rank0 - starts[i] + 1
+                if lo == hi:
+                    direct[(g, bk, local)] = lo
+                else:
+                    need.setdefault((g, bk), set()).add(local)
+                pair.append((bk, local))
+            picks.append((pair, h - math.floor(h)))
+        plan[g] = picks
+    if need:
+        # the few interval buckets holding a wanted rank: ranked exactly, each ≈ n/B rows
+        wanted = spark.createDataFrame(
+            [(g, int(bk), int(loc)) for (g, bk), ls in need.items() for loc in ls], "__gk string, __bk int, __r int"
+        )
+        sub = tagged.join(F.broadcast(wanted.select("__gk", "__bk").distinct()), ["__gk", "__bk"], "left_semi")
+        sub = sub.withColumn("__r", F.row_number().over(Window.partitionBy("__gk", "__bk").orderBy("__v")))
+        hit = sub.join(F.broadcast(wanted), ["__gk", "__bk", "__r"], "inner")
+        for r in hit.select("__gk", "__bk", "__r", "__v").collect():
+            direct[(r["__gk"], r["__bk"], r["__r"])] = r["__v"]
+    out_rows = []
+    for g, kv in key_vals.items():
+        vals = []
+        for (lo_b, hi_b), frac in plan.get(g, []):
+            vlo, vhi = direct[(g, *lo_b)], direct[(g, *hi_b)]
+            vals.append(vlo + (vhi - vlo) * frac)
+        out_rows.append((*kv, *(vals or [None] * len(names))))
+    from pyspark.sql import types as T
+
+    key_fields = [next(f for f in df.schema.fields if f.name == k) for k in keys]
+    schema = T.StructType([*key_fields, *[T.StructField(nm, T.DoubleType()) for nm in names]])
+    if not keys and not out_rows:
+        out_rows = [tuple([None] * len(names))]
+    return spark.createDataFrame(out_rows, schema)
 
 
 def dense_codes(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str = "code") -> DataFrame:
