@@ -220,3 +220,25 @@ def q_eda(spark, sf):
     bi = rep["bias"].select(F.lit("bias_chi2").alias("analysis"), F.col("bias_column").alias("item"),
                             F.col("statistic").alias("value"))
     return mi.unionByName(tv).unionByName(bi)
+
+
+@query("stream_batch_score", "O-102")
+def q_stream_batch_score(spark, sf):
+    """O-102 on a stream: the customer table read as a file stream, scored per micro-batch."""
+    from ..plans.experiment import patient_table
+    from ..streaming.scoring import read_scores, score_stream
+
+    df = patients(spark, sf)
+    spec = spec_for("regression")
+    params = fit_preprocess(df, spec)
+    x = apply_preprocess(df, params, spec, is_train=True)
+    model = ML.selection_pipeline(params["features"], ML.LinearRegression(labelCol="mean_price", solver="normal")).fit(x)
+    cust_schema = load(spark, sf, "customer").schema
+    stream = spark.readStream.schema(cust_schema).option("maxFilesPerTrigger", 1).parquet(
+        f"{sf.rstrip('/')}/customer*.parquet"
+    )
+    live = patient_table(stream, load(spark, sf, "nation"), load(spark, sf, "region"), load(spark, sf, "orders"))
+    out = IO.scratch_path(spark, "scores")
+    q = score_stream(live.drop("mean_price"), params, spec, model, "survival", out, IO.scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    return read_scores(spark, out).drop("epoch")
