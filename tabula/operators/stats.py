@@ -261,21 +261,33 @@ def histogram(long: DataFrame, bins: int = 10, feature: str = "column", value: s
 def kde_curve(long: DataFrame, grid: int = 50, feature: str = "column", value: str = "value") -> DataFrame:
     """O-44: Gaussian KDE (Scott bandwidth σ·n^(−1/5)) evaluated on ``grid`` points per column.
 
-    Each row contributes to the grid points of its column through a literal
-    index array (a narrow explode of fixed width), summed by a partial
-    aggregation: O(n · grid) work, no join.
+    One grouped aggregation with ``grid`` kernel sums (codegen'd expressions, no
+    row expansion and no join of rows with the grid); the per-column range and
+    bandwidth come from a first small aggregation, broadcast (one row per column).
     """
-    st = long.where(F.col(value).isNotNull()).groupBy(feature).agg(
+    v = long.select(feature, value).where(F.col(value).isNotNull())
+    st = v.groupBy(feature).agg(
         F.count(F.lit(1)).alias("__n"), F.stddev_samp(value).alias("__s"),
         F.min(value).alias("__lo"), F.max(value).alias("__hi"),
     ).withColumn("__h", F.col("__s") * F.pow(F.col("__n").cast("double"), F.lit(-0.2)))
-    j = long.where(F.col(value).isNotNull()).join(F.broadcast(st), feature)
-    j = j.withColumn("gi", F.explode(F.array(*[F.lit(i) for i in range(grid)])))
-    g = F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.col("gi") / F.lit(grid - 1)
-    u = (g - F.col(value)) / F.col("__h")
-    k = F.exp(-0.5 * u * u) / F.lit(math.sqrt(2 * math.pi))
-    return j.groupBy(feature, "gi").agg(
-        F.first(g).alias("x"), (F.sum(k) / (F.first("__n") * F.first("__h"))).alias("density")
+    j = v.join(F.broadcast(st), feature)
+    norm = F.lit(1.0 / math.sqrt(2 * math.pi))
+
+    def gpt(i: int) -> Column:
+        return F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.lit(i) / F.lit(grid - 1)
+
+    sums = [F.sum(F.exp(F.lit(-0.5) * F.pow((gpt(i) - F.col(value)) / F.col("__h"), 2)) * norm).alias(f"__k{i}")
+            for i in range(grid)]
+    agg = j.groupBy(feature, "__n", "__h", "__lo", "__hi").agg(*sums)
+    long_out = agg.select(
+        feature, "__n", "__h", "__lo", "__hi",
+        F.explode(F.array(*[F.struct(F.lit(i).alias("gi"), F.col(f"__k{i}").alias("k")) for i in range(grid)])).alias("__p"),
+    )
+    return long_out.select(
+        feature,
+        F.col("__p.gi").alias("gi"),
+        (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.col("__p.gi") / F.lit(grid - 1)).alias("x"),
+        (F.col("__p.k") / (F.col("__n") * F.col("__h"))).alias("density"),
     )
 
 
