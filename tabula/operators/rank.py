@@ -102,6 +102,108 @@ def _group_key(keys: Sequence[str]) -> Column:
     return F.concat_ws("\u0001", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys])
 
 
+def value_buckets(df: DataFrame, keys: Sequence[str], value: str, buckets: int | None = None,
+                  extra: Sequence[Column] = ()):
+    """Shared first two passes of the bucket method (exact quantiles, KS).
+
+    Pass 1 (one grouped aggregation over all rows): a ``percentile_approx``
+    sketch per group, the group's key values and any ``extra`` aggregates; the
+    G × B boundaries are collected once and attached to rows as plain columns by
+    a broadcast hash join, so every later pass sees identical buckets. Bucket ids
+    are ordered like values: interval (b[i-1], b[i]) = 2i, point {b[i]} = 2i + 1.
+    Pass 2: exact count/min/max per (group, bucket), collected (G × 2B rows).
+
+    Returns (tagged rows (keys, __gk, __v, __bk), meta rows, key values per group,
+    sketch rows).
+    """
+    spark = df.sparkSession
+    keys = list(keys)
+    b = buckets or max(16, 2 * shuffle_partitions(spark))
+    gk = _group_key(keys)
+    v = F.col(value).cast("double")
+    allrows = df.select(*keys, gk.alias("__gk"), F.when(v.isNotNull() & ~F.isnan(v), v).alias("__v"))
+    clean = allrows.where(F.col("__v").isNotNull())
+    inner = [i / b for i in range(1, b)]
+    sketch = allrows.groupBy("__gk").agg(
+        # rank error ≤ n/accuracy keeps each interval bucket within ~1.1 × n/B rows
+        F.percentile_approx("__v", inner, max(1_000, 10 * b)).alias("__b"),
+        *[F.first(k).alias(k) for k in keys],
+        *extra,
+    ).limit(MAX_QUANTILE_GROUPS + 1).collect()
+    if len(sketch) > MAX_QUANTILE_GROUPS:
+        raise ValueError("too many groups for the bucket method")
+    key_vals = {r["__gk"]: tuple(r[k] for k in keys) for r in sketch}
+    bounds = {r["__gk"]: sorted(set(r["__b"])) for r in sketch if r["__b"] is not None}
+    # boundaries padded with NaN to a fixed width (NaN compares neither < v nor = v): the
+    # bucket is an unrolled comparison sum inside whole-stage codegen
+    width = max([len(x) for x in bounds.values()] + [1])
+    nan = float("nan")
+    bt = spark.createDataFrame(
+        [(k, *[float(t) for t in x], *([nan] * (width - len(x)))) for k, x in bounds.items()] or [("", *([nan] * width))],
+        ", ".join(["__gk string"] + [f"__b{i} double" for i in range(width)]),
+    )
+    below = sum((F.col(f"__b{i}") < F.col("__v")).cast("int") for i in range(width))
+    equal = sum((F.col(f"__b{i}") == F.col("__v")).cast("int") for i in range(width))
+    tagged = clean.join(F.broadcast(bt), "__gk").select(*keys, "__gk", "__v", (F.lit(2) * below + equal).alias("__bk"))
+    meta = tagged.groupBy("__gk", "__bk").agg(
+        F.count(F.lit(1)).alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi")
+    ).collect()
+    return tagged, meta, key_vals, sketch
+
+
+def ks_normal_stats(df: DataFrame, keys: Sequence[str], value: str, buckets: int | None = None) -> DataFrame:
+    """One-sample KS statistic against N(mean, std) per group, without sorting the table.
+
+    D = max over the sorted sample of max(i/n − F(x_i), F(x_i) − (i−1)/n). It does
+    not depend on how ties are ordered, so ranks come from the buckets: a point
+    bucket (one repeated value) contributes its first and last rank in closed
+    form; rows of interval buckets (≈ n/B each) get exact ranks from a window
+    partitioned by (group, bucket). Returns keys, n, mean, std, ks_stat.
+    """
+    from pyspark.sql import types as T
+
+    from ..functions.numeric import normal_cdf
+
+    spark = df.sparkSession
+    keys = list(keys)
+    x = F.col("__v")
+    tagged, meta, key_vals, sketch = value_buckets(
+        df, keys, value, buckets,
+        extra=[F.count("__v").alias("__n"), F.avg("__v").alias("__m"), F.stddev_samp("__v").alias("__s")],
+    )
+    st = {r["__gk"]: (r["__n"], r["__m"], r["__s"]) for r in sketch}
+    per_group: dict[str, list] = {}
+    for r in meta:
+        per_group.setdefault(r["__gk"], []).append((r["__bk"], r["n"], r["lo"], r["hi"]))
+    points, intervals = [], []
+    for g, rows in per_group.items():
+        n, m, sd = st[g]
+        if sd is None or sd <= 0:
+            continue
+        acc = 0
+        for bk, cnt, lo, hi in sorted(rows):
+            if lo == hi:
+                points.append((g, float(lo), acc + 1, acc + cnt, n, m, sd))
+            else:
+                intervals.append((g, int(bk), acc, n, m, sd))
+            acc += cnt
+    ctx = "__gk string, __v double, __i0 long, __i1 long, __n long, __m double, __s double"
+    pts = spark.createDataFrame(points, ctx)
+    cdf = normal_cdf((x - F.col("__m")) / F.col("__s"))
+    nn = F.col("__n").cast("double")
+    d_pts = pts.select("__gk", F.greatest(F.col("__i1") / nn - cdf, cdf - (F.col("__i0") - 1) / nn).alias("__d"))
+    iv = spark.createDataFrame(intervals, "__gk string, __bk int, __start long, __n long, __m double, __s double")
+    rows = tagged.join(F.broadcast(iv), ["__gk", "__bk"])  # ≤ G × B rows broadcast
+    i = F.col("__start") + F.row_number().over(Window.partitionBy("__gk", "__bk").orderBy("__v"))
+    d_iv = rows.select("__gk", F.greatest(i / nn - cdf, cdf - (i - 1) / nn).alias("__d"))
+    d = {r["__gk"]: r["d"] for r in d_pts.unionByName(d_iv).groupBy("__gk").agg(F.max("__d").alias("d")).collect()}
+    key_fields = [next(f for f in df.schema.fields if f.name == k) for k in keys]
+    schema = T.StructType([*key_fields, T.StructField("n", T.LongType()), T.StructField("mean", T.DoubleType()),
+                           T.StructField("std", T.DoubleType()), T.StructField("ks_stat", T.DoubleType())])
+    out = [(*kv, int(st[g][0]), st[g][1], st[g][2], d.get(g)) for g, kv in key_vals.items()]
+    return spark.createDataFrame(out, schema)
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -134,38 +236,7 @@ def exact_quantiles(
     spark = df.sparkSession
     keys = list(keys)
     names = list(names) if names else [f"q_{str(p).replace('.', '_')}" for p in probs]
-    b = buckets or max(16, 2 * shuffle_partitions(spark))
-    gk = _group_key(keys)
-    v = F.col(value).cast("double")
-    allrows = df.select(*keys, gk.alias("__gk"), F.when(v.isNotNull() & ~F.isnan(v), v).alias("__v"))
-    clean = allrows.where(F.col("__v").isNotNull())
-    inner = [i / b for i in range(1, b)]
-    # pass 1 over all rows (so groups without values still appear); keys come back with the sketch
-    sketch = allrows.groupBy("__gk").agg(
-        # rank error ≤ n/accuracy keeps each interval bucket within ~1.1 × n/B rows
-        F.percentile_approx("__v", inner, max(1_000, 10 * b)).alias("__b"), *[F.first(k).alias(k) for k in keys]
-    ).limit(MAX_QUANTILE_GROUPS + 1).collect()
-    if len(sketch) > MAX_QUANTILE_GROUPS:
-        raise ValueError("too many groups for exact quantiles")
-    key_vals = {r["__gk"]: tuple(r[k] for k in keys) for r in sketch}
-    bounds = {r["__gk"]: sorted(set(r["__b"])) for r in sketch if r["__b"] is not None}
-    # boundaries padded with NaN to a fixed width (NaN compares neither < v nor = v) and
-    # attached as plain columns by a broadcast hash join (G rows): the bucket is then an
-    # unrolled comparison sum inside whole-stage codegen
-    width = max([len(v) for v in bounds.values()] + [1])
-    nan = float("nan")
-    bt = spark.createDataFrame(
-        [(k, *[float(t) for t in v], *([nan] * (width - len(v)))) for k, v in bounds.items()],
-        ", ".join(["__gk string"] + [f"__b{i} double" for i in range(width)]),
-    )
-    below = sum((F.col(f"__b{i}") < F.col("__v")).cast("int") for i in range(width))
-    equal = sum((F.col(f"__b{i}") == F.col("__v")).cast("int") for i in range(width))
-    tagged = clean.join(F.broadcast(bt), "__gk").select(
-        *keys, "__gk", "__v", (F.lit(2) * below + equal).alias("__bk")
-    )
-    meta = tagged.groupBy("__gk", "__bk").agg(
-        F.count(F.lit(1)).alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi")
-    ).collect()
+    tagged, meta, key_vals, _ = value_buckets(df, keys, value, buckets)
     per_group: dict[str, list] = {}
     for r in meta:
         per_group.setdefault(r["__gk"], []).append((r["__bk"], r["n"], r["lo"], r["hi"]))

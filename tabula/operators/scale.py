@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import kolmogorov_p, normal_cdf
 from .profile import kurtosis_g2, melt
-from .rank import exact_quantiles, row_number_by
+from .rank import exact_quantiles, ks_normal_stats
 
 # Scaler decision names and thresholds of the decision rule.
 NO_SCALING = "NoScaling"
@@ -88,7 +88,7 @@ def threshold_long(long: DataFrame, t: float = 1.5) -> DataFrame:
 def scaler_stats(long: DataFrame, keys: Sequence[str] = (), tiebreak: str | None = None) -> DataFrame:
     """Per (keys, column): n, mean, std, min, max, zero ratio, G2 kurtosis, KS D and p.
 
-    KS needs the sorted sample: ranks come from the skew-safe row numbering.
+    KS needs ranks in the sorted sample: they come from value buckets (no table sort).
     """
     keys = list(keys)
     valid = F.col("value").isNotNull() & ~F.isnan("value")
@@ -103,15 +103,8 @@ def scaler_stats(long: DataFrame, keys: Sequence[str] = (), tiebreak: str | None
         F.avg((x == 0).cast("double")).alias("zero_ratio"),
         F.kurtosis(x).alias("__k"),
     ).withColumn("kurtosis", kurtosis_g2(F.col("n"), F.col("__k"))).drop("__k")
-    v = long.where(valid)
-    order = ["value"] + ([tiebreak] if tiebreak else [])
-    ranked = row_number_by(v, [*keys, "column"], order, out="__i")
-    j = ranked.join(F.broadcast(st.select(*keys, "column", "n", "mean", "std")), [*keys, "column"])
-    cdf = normal_cdf((F.col("value") - F.col("mean")) / F.col("std"))
-    n = F.col("n").cast("double")
-    gap = F.greatest(F.col("__i") / n - cdf, cdf - (F.col("__i") - 1) / n)
-    d = j.where(F.col("std") > 0).groupBy(*keys, "column").agg(F.max(gap).alias("ks_stat"))
-    out = st.join(d, [*keys, "column"], "left")
+    ks = ks_normal_stats(long, [*keys, "column"], "value").select(*keys, "column", "ks_stat")
+    out = st.join(ks, [*keys, "column"], "left")
     return out.withColumn("ks_p", F.when(F.col("ks_stat").isNotNull(), kolmogorov_p(F.col("ks_stat"), F.col("n"))))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import kolmogorov_p, normal_cdf
 from .profile import melt
-from .rank import exact_quantiles, row_number_by
+from .rank import exact_quantiles, ks_normal_stats, row_number_by
 
 
 def _one(df: DataFrame) -> DataFrame:
@@ -118,20 +118,12 @@ def chi2_test(ct: DataFrame, a: str, b: str, keys: Sequence[str] = ()) -> DataFr
 def ks_normal(df: DataFrame, id_col: str, cols: Sequence[str]) -> DataFrame:
     """O-39: one-sample KS statistic and asymptotic p against N(mean, std) per column.
 
-    D = max(i/n − F(x_i), F(x_i) − (i−1)/n) over the sorted sample; ranks i come
-    from the skew-safe row numbering per column.
+    D = max(i/n − F(x_i), F(x_i) − (i−1)/n) over the sorted sample, computed per
+    column from value buckets (no sort of the table, see ``ks_normal_stats``).
     """
-    long = melt(df, [id_col], cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    st = long.groupBy("column").agg(
-        F.count(F.lit(1)).cast("long").alias("n"), F.avg("value").alias("__m"), F.stddev_samp("value").alias("__s")
-    )
-    ranked = row_number_by(long, ["column"], ["value", id_col], out="__i")
-    j = ranked.join(F.broadcast(st), "column")
-    cdf = normal_cdf((F.col("value") - F.col("__m")) / F.col("__s"))
-    n = F.col("n").cast("double")
-    gap = F.greatest(F.col("__i") / n - cdf, cdf - (F.col("__i") - 1) / n)
-    d = j.groupBy("column").agg(F.max(gap).alias("ks_stat"), F.first("n").alias("n"))
-    return d.withColumn("ks_p", kolmogorov_p(F.col("ks_stat"), F.col("n")))
+    long = melt(df, [id_col], cols)
+    d = ks_normal_stats(long, ["column"], "value")
+    return d.select("column", "ks_stat", "n").withColumn("ks_p", kolmogorov_p(F.col("ks_stat"), F.col("n")))
 
 
 # --------------------------------------------------------------- correlation
