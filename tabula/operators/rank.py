@@ -93,6 +93,9 @@ def group_counts(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFram
 
 # Groups × buckets of quantile metadata reach the driver; more groups than this is refused.
 MAX_QUANTILE_GROUPS = 100_000
+# Bucket ids are an unrolled comparison per boundary; beyond this a two-level bucketing
+# (coarse, then fine boundaries per coarse bucket) is the next step.
+MAX_BUCKETS = 512
 
 
 def _group_key(keys: Sequence[str]) -> Column:
@@ -118,7 +121,8 @@ def value_buckets(df: DataFrame, keys: Sequence[str], value: str, buckets: int |
     """
     spark = df.sparkSession
     keys = list(keys)
-    b = buckets or max(16, 2 * shuffle_partitions(spark))
+    # buckets follow the cluster's cores (2 per core, 16..512): interval buckets stay ≈ n/B
+    b = buckets or min(MAX_BUCKETS, max(16, 2 * spark.sparkContext.defaultParallelism))
     gk = _group_key(keys)
     v = F.col(value).cast("double")
     allrows = df.select(*keys, gk.alias("__gk"), F.when(v.isNotNull() & ~F.isnan(v), v).alias("__v"))
