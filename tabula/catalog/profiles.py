@@ -390,3 +390,21 @@ SELECT event_type, {s6('mean_metric')} AS mean_metric,
 )
 def q_group_mean_argmax(spark, sf):
     return rounded(S.group_mean_argmax(load(spark, sf, "events"), "event_type", "value"), ["mean_metric"])
+
+
+@query(
+    "correlation_matrix_wide",
+    "O-40",
+    f"""WITH l AS (SELECT vec_id, 'e' || CAST(feature AS VARCHAR) AS f, value FROM {EMB_LONG_SQL} e
+  UNION ALL SELECT vec_id, 'label' AS f, CAST(label AS DOUBLE) AS value FROM embeddings)
+SELECT a.f AS col_a, b.f AS col_b,
+  {s6("CASE WHEN a.f = b.f THEN 1.0 ELSE corr(a.value, b.value) END")} AS corr
+FROM l a JOIN l b USING (vec_id) GROUP BY a.f, b.f""",
+)
+def q_correlation_matrix_wide(spark, sf):
+    """65 columns (64 embedding dimensions + label): the Gramian path of O-40."""
+    e = load(spark, sf, "embeddings")
+    cols = [f"e{i}" for i in range(64)] + ["label"]
+    wide = e.select(*[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)],
+                    F.col("label").cast("double").alias("label"))
+    return rounded(S.correlation_long(wide, cols), ["corr"])

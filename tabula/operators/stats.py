@@ -127,34 +127,64 @@ def ks_normal(df: DataFrame, id_col: str, cols: Sequence[str]) -> DataFrame:
 
 
 # --------------------------------------------------------------- correlation
+# Above this many columns the pairwise aggregates are replaced (see correlation_long).
+WIDE_CORRELATION = 64
+PAIR_CHUNK = 1_000
+
+
+def _pairwise_corr(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Pairwise-complete Pearson for i < j, as long (col_a, col_b, corr); chunks of PAIR_CHUNK aggregates."""
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    out = None
+    for k in range(0, len(pairs), PAIR_CHUNK):
+        chunk = pairs[k:k + PAIR_CHUNK]
+        names = [f"__p{k + i}" for i in range(len(chunk))]
+        wide = df.agg(*[F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias(n)
+                        for (a, b), n in zip(chunk, names)])
+        lut = F.create_map(*[x for (a, b), n in zip(chunk, names) for x in (F.lit(n), F.array(F.lit(a), F.lit(b)))])
+        part = wide.unpivot([], names, "__pair", "corr").select(
+            F.element_at(lut, F.col("__pair"))[0].alias("col_a"), F.element_at(lut, F.col("__pair"))[1].alias("col_b"), "corr"
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """O-40: pairwise-complete Pearson matrix in long form (col_a, col_b, corr).
 
-    One aggregation computes every pair (mergeable co-moments); columns with a
-    non-finite correlation anywhere are removed, as in the reference.
+    Up to ``WIDE_CORRELATION`` columns: one aggregation of all pair correlations
+    (mergeable co-moments). Wider tables: when no column has a NULL, one
+    ``ml.stat.Correlation`` pass (a distributed d×d Gramian, identical to
+    pairwise-complete without NULLs); otherwise the pair aggregates in chunks.
+    Columns with a non-finite correlation anywhere are removed, as in the reference.
     """
     cols = list(cols)
-    aggs = []
-    for i, a in enumerate(cols):
-        for b in cols[i + 1:]:
-            aggs.append(F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias(f"{a}\u0001{b}"))
-    if not aggs:
-        return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
-    wide = df.agg(*aggs)
-    names = [f"{a}\u0001{b}" for i, a in enumerate(cols) for b in cols[i + 1:]]
-    long = wide.unpivot([], names, "__pair", "corr").select(
-        F.split("__pair", "\u0001").getItem(0).alias("col_a"),
-        F.split("__pair", "\u0001").getItem(1).alias("col_b"),
-        "corr",
-    )
-    sym = long.unionByName(long.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr"))
-    diag = df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "col_a string, col_b string, corr double")
+    spark = df.sparkSession
+    if len(cols) < 2:
+        return spark.createDataFrame([], "col_a string, col_b string, corr double")
+    upper = None
+    if len(cols) > WIDE_CORRELATION:
+        nulls = df.agg(*[F.sum(F.col(f"`{c}`").isNull().cast("long")).alias(c) for c in cols]).first()
+        if all((nulls[c] or 0) == 0 for c in cols):
+            from pyspark.ml.stat import Correlation
+
+            from ..operators.model import assemble
+
+            v = assemble(cols, "__vec").transform(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols]))
+            m = Correlation.corr(v, "__vec").first()[0].toArray()  # d×d, bounded by the column count
+            upper = spark.createDataFrame(
+                [(a, b, float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j],
+                "col_a string, col_b string, corr double",
+            )
+    if upper is None:
+        upper = _pairwise_corr(df, cols)
+    sym = upper.unionByName(upper.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr"))
+    diag = spark.createDataFrame([(c, c, 1.0) for c in cols], "col_a string, col_b string, corr double")
     full = sym.unionByName(diag)
     finite = F.col("corr").isNotNull() & ~F.isnan("corr")
     bad = full.where(~finite).select(F.col("col_a").alias("__bad")).distinct()
     keep = full.join(bad, full["col_a"] == bad["__bad"], "left_anti")
-    keep = keep.join(bad, keep["col_b"] == bad["__bad"], "left_anti")
-    return keep
+    return keep.join(bad, keep["col_b"] == bad["__bad"], "left_anti")
 
 
 def target_correlation_rank(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
