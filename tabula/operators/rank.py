@@ -106,7 +106,7 @@ def _group_key(keys: Sequence[str]) -> Column:
 
 
 def value_buckets(df: DataFrame, keys: Sequence[str], value: str, buckets: int | None = None,
-                  extra: Sequence[Column] = ()):
+                  extra: Sequence[Column] = (), carry: Sequence[str] = ()):
     """Shared first two passes of the bucket method (exact quantiles, KS).
 
     Pass 1 (one grouped aggregation over all rows): a ``percentile_approx``
@@ -125,7 +125,8 @@ def value_buckets(df: DataFrame, keys: Sequence[str], value: str, buckets: int |
     b = buckets or min(MAX_BUCKETS, max(16, 2 * spark.sparkContext.defaultParallelism))
     gk = _group_key(keys)
     v = F.col(value).cast("double")
-    allrows = df.select(*keys, gk.alias("__gk"), F.when(v.isNotNull() & ~F.isnan(v), v).alias("__v"))
+    carry = [c for c in carry if c not in keys]
+    allrows = df.select(*keys, *carry, gk.alias("__gk"), F.when(v.isNotNull() & ~F.isnan(v), v).alias("__v"))
     clean = allrows.where(F.col("__v").isNotNull())
     inner = [i / b for i in range(1, b)]
     sketch = allrows.groupBy("__gk").agg(
@@ -148,8 +149,10 @@ def value_buckets(df: DataFrame, keys: Sequence[str], value: str, buckets: int |
     )
     below = sum((F.col(f"__b{i}") < F.col("__v")).cast("int") for i in range(width))
     equal = sum((F.col(f"__b{i}") == F.col("__v")).cast("int") for i in range(width))
-    tagged = clean.join(F.broadcast(bt), "__gk").select(*keys, "__gk", "__v", (F.lit(2) * below + equal).alias("__bk"))
-    meta = tagged.groupBy("__gk", "__bk").agg(
+    tagged = clean.join(F.broadcast(bt), "__gk").select(
+        *keys, *carry, "__gk", "__v", (F.lit(2) * below + equal).alias("__bk")
+    )
+    meta = tagged.groupBy("__gk", "__bk", *carry).agg(
         F.count(F.lit(1)).alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi")
     ).collect()
     return tagged, meta, key_vals, sketch

@@ -2,7 +2,8 @@
 
 entity table ⋈ cohort lookup → LOCO folds (O-21) → train quartiles per fold
 (O-29) → clip both roles to Q1/Q3 (O-69) → z-score with train mean/std (O-86)
-→ one row per (fold, role): n, mean and std of the scaled value.
+→ one row per (fold, role): n, mean and std of the scaled value. The folds are
+never materialised as row copies: see ``loco_clip_scale_profile``.
 """
 
 from __future__ import annotations
@@ -11,8 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import r6
-from ..operators.rank import exact_quantiles
-from ..operators.split import cohort_list, loco_expand
+from ..operators.split import cohort_list, loco_quantiles
 
 
 def cohort_view(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
@@ -34,27 +34,44 @@ def cohort_view(customer: DataFrame, nation: DataFrame, region: DataFrame) -> Da
 
 
 def loco_clip_scale_profile(base: DataFrame, id_col: str = "id", value: str = "x", cohort: str = "cohort") -> DataFrame:
+    """One row per (fold, role): n, mean and std of the clipped, train-standardised value.
+
+    No row is copied per fold. Train quartiles per fold come from
+    :func:`loco_quantiles` (global buckets, per-cohort bucket statistics combined
+    as "all cohorts but f"). Clipping with each fold's literal bounds and the
+    per-(fold, role) count/mean/std are then one aggregation pass with 6k
+    conditional aggregates; z = (x − μ_train)/σ_train is linear, so
+    mean(z) = (mean − μ)/σ and std(z) = std/σ follow exactly.
+    """
+    spark = base.sparkSession
     cohorts = cohort_list(base, cohort)
-    folds = loco_expand(base.select(id_col, value, cohort), cohort, cohorts)
-    train = folds.where(F.col("role") == "train")
-    q = exact_quantiles(train, ["fold"], value, [0.25, 0.75], tiebreak=id_col, names=["q1", "q3"])
-    iqr = F.col("q3") - F.col("q1")
-    x = F.col(value)
-    clipped = folds.join(F.broadcast(q), "fold").withColumn(
-        value,
-        F.when(x < F.col("q1") - 1.5 * iqr, F.col("q1")).when(x > F.col("q3") + 1.5 * iqr, F.col("q3")).otherwise(x),
-    )
-    fit = clipped.where(F.col("role") == "train").groupBy("fold").agg(
-        F.avg(value).alias("mu"), F.stddev_samp(value).alias("sd")
-    )
-    z = clipped.join(F.broadcast(fit), "fold").withColumn(
-        "z", F.when(F.col("sd") > 0, (x - F.col("mu")) / F.col("sd")).otherwise(x)
-    )
-    return z.groupBy("fold", "role").agg(
-        F.count(F.lit(1)).cast("long").alias("n"),
-        r6(F.avg("z")).alias("mean_z"),
-        r6(F.stddev_samp("z")).alias("std_z"),
-    )
+    q = {r["fold"]: (r["q1"], r["q3"]) for r in
+         loco_quantiles(base, cohort, value, [0.25, 0.75], cohorts, ["q1", "q3"]).collect()}
+    c = F.col(cohort).cast("string")
+    x = F.col(value).cast("double")
+    aggs = []
+    for i, f in enumerate(cohorts):
+        q1, q3 = q[f]
+        iqr = q3 - q1
+        clipped = F.when(x < F.lit(q1 - 1.5 * iqr), F.lit(q1)).when(x > F.lit(q3 + 1.5 * iqr), F.lit(q3)).otherwise(x)
+        is_test = c.eqNullSafe(F.lit(f))
+        for role, cond in (("train", ~is_test), ("test", is_test)):
+            v = F.when(cond, clipped)
+            aggs += [F.count(v).alias(f"n{i}{role}"), F.avg(v).alias(f"m{i}{role}"), F.stddev_samp(v).alias(f"s{i}{role}")]
+    r = base.agg(*aggs).first()
+    rows = []
+    for i, f in enumerate(cohorts):
+        mu, sd = r[f"m{i}train"], r[f"s{i}train"]
+        for role in ("train", "test"):
+            n, m, s = r[f"n{i}{role}"], r[f"m{i}{role}"], r[f"s{i}{role}"]
+            if sd is not None and sd > 0:
+                mz = None if m is None else (m - mu) / sd
+                sz = None if s is None else s / sd
+            else:
+                mz, sz = m, s
+            rows.append((f, role, int(n), mz, sz))
+    out = spark.createDataFrame(rows, "fold string, role string, n long, mean_z double, std_z double")
+    return out.select("fold", "role", "n", r6("mean_z").alias("mean_z"), r6("std_z").alias("std_z"))
 
 
 ORACLE_SQL = """

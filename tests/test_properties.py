@@ -95,3 +95,25 @@ def test_stream_scoring_equals_batch(spark, patients):
     want = {r.id: r.exp_prediction for r in batch.collect()}
     assert got.keys() == want.keys()
     assert all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_loco_quantiles_equal_expanded_form(spark):
+    """Per-fold train quantiles without copying rows == quantiles over the explicit LOCO expansion."""
+    import random
+
+    from tabula.operators.rank import exact_quantiles
+    from tabula.operators.split import loco_quantiles, loco_train
+
+    rnd = random.Random(3)
+    rows = []
+    for i in range(3000):
+        c = ["a", "b", "c", None][i % 4] if i % 3 else "a"  # 'a' is hot, NULL cohort trains everywhere
+        v = 0.0 if i % 5 == 0 else rnd.gauss(10, 3)  # a hot repeated value
+        rows.append((i, c, v))
+    df = spark.createDataFrame(rows, "id long, cohort string, v double")
+    got = {r.fold: (r.q1, r.q3) for r in loco_quantiles(df, "cohort", "v", [0.25, 0.75], names=["q1", "q3"]).collect()}
+    exp = loco_train(df, "cohort", ["a", "b", "c"])
+    want = {r.fold: (r.q1, r.q3) for r in exact_quantiles(exp, ["fold"], "v", [0.25, 0.75], names=["q1", "q3"]).collect()}
+    assert got.keys() == want.keys()
+    for f in want:
+        assert got[f] == pytest.approx(want[f])
