@@ -78,6 +78,42 @@ def md5_order(id_col: str, seed: int = 42) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
 
 
+# Rows per window task when numbering rows in hash order.
+ROWS_PER_TASK = 2_000_000
+
+
+def hash_row_number(df: DataFrame, keys: Sequence[str], id_col: str, seed: int = 42, out: str = "rn",
+                    group_sizes: dict | None = None) -> DataFrame:
+    """Exact ``row_number() over (partition by keys order by md5(id:seed), id)`` without a sort of the table.
+
+    An md5 prefix is uniform, so hash buckets are cut arithmetically from its first
+    8 hex digits: B = ceil(largest group / ROWS_PER_TASK) buckets keep every window
+    task near ROWS_PER_TASK rows however large (or hot) a group is. Per-(group,
+    bucket) counts (a small table, broadcast) give each bucket's offset; the rank
+    is offset + position inside the bucket's window. Deterministic, no sampling.
+    """
+    keys = list(keys)
+    h = md5_order(id_col, seed)
+    if group_sizes is None:
+        group_sizes = {0: df.count()}
+    b = max(1, -(-max(group_sizes.values() or [1]) // ROWS_PER_TASK))
+    x = df.withColumn("__h", h).withColumn(
+        "__hb", (F.conv(F.substring("__h", 1, 8), 16, 10).cast("long") * F.lit(b) / F.lit(1 << 32)).cast("long")
+    )
+    counts = x.groupBy(*keys, "__hb").agg(F.count(F.lit(1)).alias("__c"))
+    before = Window.partitionBy(*keys).orderBy("__hb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__c").over(before), F.lit(0))).drop("__c")
+    o = offsets.select(*[F.col(k).alias(f"__ok{i}") for i, k in enumerate(keys)], F.col("__hb").alias("__ohb"), "__off")
+    cond = x["__hb"] == o["__ohb"]
+    for i, k in enumerate(keys):
+        cond = cond & x[k].eqNullSafe(o[f"__ok{i}"])
+    j = x.join(F.broadcast(o), cond)  # groups × buckets rows
+    w = Window.partitionBy(*keys, "__hb").orderBy("__h", id_col)
+    return j.withColumn(out, (F.col("__off") + F.row_number().over(w)).cast("long")).drop(
+        "__h", "__hb", "__ohb", "__off", *[f"__ok{i}" for i in range(len(keys))]
+    )
+
+
 def rank_first(df: DataFrame, value: str, id_col: str, keys: Sequence[str] = (), out: str = "rank") -> DataFrame:
     """O-48: rank with ties broken by row order (id), skew-safe, NULL values last."""
     return row_number_by(df, list(keys), [F.col(value).asc_nulls_last(), F.col(id_col)], out=out)
@@ -116,18 +152,18 @@ def stratified_folds(
     When the smallest stratum has fewer than two rows: plain k-fold over all rows
     with k = min(max_splits, n); with n < 2 an error.
     """
-    counts = group_counts(df, [stratum], "__c")
-    smallest = counts.agg(F.min("__c").alias("m"), F.sum("__c").alias("n")).first()
-    if smallest is None or smallest["m"] is None:
+    sizes = {r[0]: r[1] for r in group_counts(df, [stratum], "__c").collect()}  # one row per stratum
+    if not sizes:
         raise ValueError("cannot build folds from an empty frame")
-    k = min(max_splits, int(smallest["m"]))
+    k = min(max_splits, int(min(sizes.values())))
     keys: list[str] = [stratum]
     if k < 2:
-        k = min(max_splits, int(smallest["n"]))
-        keys = []
+        total = int(sum(sizes.values()))
+        k = min(max_splits, total)
+        keys, sizes = [], {0: total}
         if k < 2:
             raise ValueError("inner CV needs at least two rows")
-    ranked = row_number_by(df, keys, [md5_order(id_col, seed), F.col(id_col)], out="__r")
+    ranked = hash_row_number(df, keys, id_col, seed, out="__r", group_sizes=sizes)
     return ranked.withColumn(out, ((F.col("__r") - 1) % k).cast("long")).drop("__r")
 
 
@@ -145,7 +181,7 @@ def train_val_test_split(
     m = math.ceil(holdout * n)
     n_test = math.ceil(test_share * m)
     a, b = n - m, n - n_test
-    ranked = row_number_by(df, [], [md5_order(id_col, seed), F.col(id_col)], out="__r")
+    ranked = hash_row_number(df, [], id_col, seed, out="__r", group_sizes={0: n})
     return ranked.withColumn(
         out,
         F.when(F.col("__r") <= a, "train").when(F.col("__r") <= b, "validation").otherwise("test"),

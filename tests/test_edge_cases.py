@@ -234,3 +234,17 @@ def test_exact_quantiles_match_pandas(spark):
     r = exact_quantiles(df, ["g"], "v", [0.25, 0.5, 0.75], tiebreak="id", names=["a", "b", "c"]).first()
     s = pd.Series([v for v in vals if v is not None])
     assert (r.a, r.b, r.c) == pytest.approx((s.quantile(0.25), s.quantile(0.5), s.quantile(0.75)))
+
+
+def test_hash_row_number_many_buckets(spark, monkeypatch):
+    from tabula.operators import split as SP
+
+    monkeypatch.setattr(SP, "ROWS_PER_TASK", 37)  # force many hash buckets
+    df = spark.range(2000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(
+        (F.col("id") % 7).cast("string")).alias("s"))
+    sizes = {r.s: r["count"] for r in df.groupBy("s").count().collect()}
+    a = SP.hash_row_number(df, ["s"], "id", 42, "rn", sizes).select("id", "rn")
+    w = Window.partitionBy("s").orderBy(SP.md5_order("id", 42), F.col("id"))
+    b = df.withColumn("rn2", F.row_number().over(w)).select("id", "rn2")
+    assert a.join(b, "id").where(F.col("rn") != F.col("rn2")).count() == 0
+    assert a.count() == 2000
