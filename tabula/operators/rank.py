@@ -306,3 +306,109 @@ def dense_codes(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     then dense rank = row number - 1.
     """
     return row_number_by(df, keys, order, out=out).withColumn(out, F.col(out) - 1)
+
+
+def distribution_profile(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
+                         names: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """Moments, exact quantiles and the KS-normal statistic per group in three passes.
+
+    Pass 1: bucket sketch plus count, mean, std, min, max, zero ratio and
+    population excess kurtosis (all mergeable). Pass 2: exact bucket statistics.
+    Pass 3: one window inside interval buckets gives both the KS maximum and the
+    values at the wanted quantile ranks (point buckets answer in closed form).
+    Returns keys, n, mean, std, min, max, zero_ratio, kurt_pop, ks_stat, <names>.
+    """
+    import bisect
+    import math
+
+    from pyspark.sql import types as T
+
+    from ..functions.numeric import normal_cdf
+
+    spark = df.sparkSession
+    keys = list(keys)
+    names = list(names)
+    x = F.col("__v")
+    extra = [F.count(x).alias("__n"), F.avg(x).alias("__m"), F.stddev_samp(x).alias("__s"), F.min(x).alias("__mn"),
+             F.max(x).alias("__mx"), F.avg((x == 0).cast("double")).alias("__z"), F.kurtosis(x).alias("__k")]
+    tagged, meta, key_vals, sketch = value_buckets(df, keys, value, buckets, extra=extra)
+    st = {r["__gk"]: r for r in sketch}
+    per_group: dict[str, list] = {}
+    for r in meta:
+        per_group.setdefault(r["__gk"], []).append((r["__bk"], r["n"], r["lo"], r["hi"]))
+    points, intervals, wanted, direct, plan = [], {}, set(), {}, {}
+    for g, rows in per_group.items():
+        rows.sort()
+        n, m, sd = st[g]["__n"], st[g]["__m"], st[g]["__s"]
+        starts, acc = [], 0
+        for bk, cnt, lo, hi in rows:
+            starts.append(acc)
+            if lo == hi:
+                if sd is not None and sd > 0:
+                    points.append((g, float(lo), acc + 1, acc + cnt, n, m, sd))
+            else:
+                intervals[(g, bk)] = (acc, n, m, sd if sd is not None else 0.0)
+            acc += cnt
+        picks = []
+        for p in probs:
+            h = (acc - 1) * float(p)
+            pair = []
+            for rank0 in (math.floor(h), math.ceil(h)):
+                i = bisect.bisect_right(starts, rank0) - 1
+                bk, cnt, lo, hi = rows[i]
+                local = rank0 - starts[i] + 1
+                if lo == hi:
+                    direct[(g, bk, local)] = lo
+                else:
+                    wanted.add((g, int(bk), int(local)))
+                pair.append((bk, local))
+            picks.append((pair, h - math.floor(h)))
+        plan[g] = picks
+    nn = F.col("__n").cast("double")
+    cdf = normal_cdf((x - F.col("__m")) / F.col("__s"))
+    parts = []
+    if points:
+        pts = spark.createDataFrame(points, "__gk string, __v double, __i0 long, __i1 long, __n long, __m double, __s double")
+        parts.append(pts.groupBy("__gk").agg(
+            F.max(F.greatest(F.col("__i1") / nn - cdf, cdf - (F.col("__i0") - 1) / nn)).alias("__val")
+        ).select("__gk", F.lit(-1).alias("__bk"), F.lit(-1).cast("long").alias("__r"), "__val"))
+    if intervals:
+        iv = spark.createDataFrame([(g, int(bk), *v) for (g, bk), v in intervals.items()],
+                                   "__gk string, __bk int, __start long, __n long, __m double, __s double")
+        ranked = tagged.join(F.broadcast(iv), ["__gk", "__bk"]).withColumn(
+            "__r", F.row_number().over(Window.partitionBy("__gk", "__bk").orderBy("__v")).cast("long")
+        )
+        i = F.col("__start") + F.col("__r")
+        ks = ranked.where(F.col("__s") > 0).groupBy("__gk").agg(
+            F.max(F.greatest(i / nn - cdf, cdf - (i - 1) / nn)).alias("__val")
+        ).select("__gk", F.lit(-1).alias("__bk"), F.lit(-1).cast("long").alias("__r"), "__val")
+        parts.append(ks)
+        if wanted:
+            w = spark.createDataFrame(sorted(wanted), "__gk string, __bk int, __r long")
+            parts.append(ranked.join(F.broadcast(w), ["__gk", "__bk", "__r"]).select("__gk", "__bk", "__r", F.col("__v").alias("__val")))
+    ks_max: dict[str, float] = {}
+    if parts:
+        u = parts[0]
+        for p_ in parts[1:]:
+            u = u.unionByName(p_)
+        for r in u.collect():  # ≤ G × (1 + 2·#probs) rows
+            if r["__bk"] == -1:
+                ks_max[r["__gk"]] = max(ks_max.get(r["__gk"], float("-inf")), r["__val"])
+            else:
+                direct[(r["__gk"], r["__bk"], r["__r"])] = r["__val"]
+    out = []
+    for g, kv in key_vals.items():
+        s_ = st[g]
+        qs = []
+        for (lo_b, hi_b), frac in plan.get(g, []):
+            vlo, vhi = direct[(g, *lo_b)], direct[(g, *hi_b)]
+            qs.append(vlo + (vhi - vlo) * frac)
+        qs = qs or [None] * len(names)
+        ksv = ks_max.get(g) if (s_["__s"] is not None and s_["__s"] > 0) else None
+        out.append((*kv, int(s_["__n"]), s_["__m"], s_["__s"], s_["__mn"], s_["__mx"], s_["__z"], s_["__k"], ksv, *qs))
+    key_fields = [next(f for f in df.schema.fields if f.name == k) for k in keys]
+    dbl = T.DoubleType()
+    schema = T.StructType([*key_fields, T.StructField("n", T.LongType()),
+                           *[T.StructField(c, dbl) for c in ["mean", "std", "min", "max", "zero_ratio", "kurt_pop",
+                                                              "ks_stat", *names]]])
+    return spark.createDataFrame(out, schema)

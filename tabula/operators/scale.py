@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import kolmogorov_p, normal_cdf
 from .profile import kurtosis_g2, melt
-from .rank import exact_quantiles, ks_normal_stats
+from .rank import distribution_profile, exact_quantiles
 
 # Scaler decision names and thresholds of the decision rule.
 NO_SCALING = "NoScaling"
@@ -86,26 +86,14 @@ def threshold_long(long: DataFrame, t: float = 1.5) -> DataFrame:
 
 # --------------------------------------------------------- scaler choice
 def scaler_stats(long: DataFrame, keys: Sequence[str] = (), tiebreak: str | None = None) -> DataFrame:
-    """Per (keys, column): n, mean, std, min, max, zero ratio, G2 kurtosis, KS D and p.
+    """Per (keys, column): n, mean, std, min, max, zero ratio, G2 kurtosis, KS D and p, Q1/median/Q3.
 
-    KS needs ranks in the sorted sample: they come from value buckets (no table sort).
+    Three passes over the long layout (see ``distribution_profile``); no sort of
+    the table. An all-NULL column keeps its row with n = 0.
     """
-    keys = list(keys)
-    valid = F.col("value").isNotNull() & ~F.isnan("value")
-    x = F.when(valid, F.col("value"))
-    # aggregate over all rows so that an all-NULL column still gets a row (n = 0)
-    st = long.groupBy(*keys, "column").agg(
-        F.count(x).cast("long").alias("n"),
-        F.avg(x).alias("mean"),
-        F.stddev_samp(x).alias("std"),
-        F.min(x).alias("min"),
-        F.max(x).alias("max"),
-        F.avg((x == 0).cast("double")).alias("zero_ratio"),
-        F.kurtosis(x).alias("__k"),
-    ).withColumn("kurtosis", kurtosis_g2(F.col("n"), F.col("__k"))).drop("__k")
-    ks = ks_normal_stats(long, [*keys, "column"], "value").select(*keys, "column", "ks_stat")
-    out = st.join(ks, [*keys, "column"], "left")
-    return out.withColumn("ks_p", F.when(F.col("ks_stat").isNotNull(), kolmogorov_p(F.col("ks_stat"), F.col("n"))))
+    d = distribution_profile(long, [*keys, "column"], "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    d = d.withColumn("kurtosis", kurtosis_g2(F.col("n"), F.col("kurt_pop"))).drop("kurt_pop")
+    return d.withColumn("ks_p", F.when(F.col("ks_stat").isNotNull(), kolmogorov_p(F.col("ks_stat"), F.col("n"))))
 
 
 def decision_expr(signal_cols: Sequence[str] = ()) -> Column:
@@ -129,11 +117,7 @@ def choose_scaler(long: DataFrame, keys: Sequence[str] = (), signal_cols: Sequen
                   tiebreak: str | None = None) -> DataFrame:
     """O-83: decision per (keys, column) plus every parameter a transform needs."""
     st = scaler_stats(long, keys, tiebreak)
-    q = exact_quantiles(long, [*keys, "column"], "value", [0.25, 0.5, 0.75], tiebreak=tiebreak,
-                        names=["q1", "median", "q3"])
-    return st.join(q, [*keys, "column"], "left").withColumn("decision", decision_expr(signal_cols)).withColumn(
-        "iqr", F.col("q3") - F.col("q1")
-    )
+    return st.withColumn("decision", decision_expr(signal_cols)).withColumn("iqr", F.col("q3") - F.col("q1"))
 
 
 def transform_expr(x: Column, decision: Column, p: dict[str, Column]) -> Column:
