@@ -58,7 +58,8 @@ def runs_table(spark, sf) -> DataFrame:
         F.concat("event_type", F.lit("_heldout_"), (F.col("user_id") % 5).cast("string")).alias("run_name"),
         F.col("event_type").alias("experiment_id"),
         F.when(F.col("value") >= 5, "FINISHED").otherwise("FAILED").alias("status"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("start_time"),
+        # epoch ms of a zone-less timestamp, independent of the session time zone
+        F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) div 1000").alias("start_time"),
         F.when(F.col("event_id") != F.col("first_id"), F.concat(F.lit("run-"), F.col("first_id").cast("string")))
         .alias("parent_run_id"),
         metrics.alias("metrics"),
