@@ -105,13 +105,16 @@ def fit_preprocess(train: DataFrame, spec: PrepSpec) -> dict:
         for r in exact_quantiles(long, ["column"], "value", [0.5], tiebreak="__rid", names=["median"]).collect():
             p["medians"][r["column"]] = r["median"]
     x = impute_encode_input(t, p, spec)
-    # one-hot vocabulary: sorted categories of the imputed text
-    p["categories"] = {}
-    for c in cat:
-        vals = [r[0] for r in x.select(c).distinct().orderBy(c).limit(MAX_CATEGORIES + 1).collect()]
-        if len(vals) > MAX_CATEGORIES:
-            raise ValueError(f"{c}: too many categories for one-hot encoding")
-        p["categories"][c] = vals
+    # one-hot vocabulary: sorted categories of the imputed text, all columns in one bounded job
+    p["categories"] = {c: [] for c in cat}
+    if cat:
+        long_cat = melt(x, [], cat, dtype="string").distinct().limit(MAX_CATEGORIES * len(cat) + 1).collect()
+        for r in long_cat:
+            p["categories"][r["column"]].append(r["value"])
+        for c in cat:
+            if len(p["categories"][c]) > MAX_CATEGORIES:
+                raise ValueError(f"{c}: too many categories for one-hot encoding")
+            p["categories"][c] = sorted(p["categories"][c])
     x = one_hot_apply(x, p)
     # cohort offsets of the signal columns (train only): mean per cohort − global mean
     sig = [c for c in spec.signal_cols if c in x.columns]
@@ -119,10 +122,13 @@ def fit_preprocess(train: DataFrame, spec: PrepSpec) -> dict:
     if sig:
         coh = F.coalesce(_q(spec.cohort_col).cast("string"), F.lit("nan"))
         xs = x.withColumn("__coh", coh)
-        g = xs.groupBy("__coh").agg(*[F.avg(_q(c)).alias(c) for c in sig]).collect()
-        a = xs.agg(*[F.avg(_q(c)).alias(c) for c in sig]).first()
-        for r in g:
-            p["offsets"][r["__coh"]] = {c: (r[c] - a[c]) if r[c] is not None and a[c] is not None else 0.0 for c in sig}
+        # per-cohort and global means in one job (rollup: the grand total has grouping id 1)
+        rows = xs.rollup("__coh").agg(F.grouping_id().alias("__gid"), *[F.avg(_q(c)).alias(c) for c in sig]).collect()
+        a = next(r for r in rows if r["__gid"] == 1)
+        for r in rows:
+            if r["__gid"] == 0:
+                p["offsets"][r["__coh"]] = {c: (r[c] - a[c]) if r[c] is not None and a[c] is not None else 0.0
+                                            for c in sig}
         x = center_apply(xs, p, spec).drop("__coh")
     # scaler decision + parameters per numeric column after encoding
     feats = [c for c in numeric_columns(x) if c not in (spec.id_col, spec.cohort_col, *spec.targets)]
