@@ -242,3 +242,23 @@ def q_stream_batch_score(spark, sf):
     q = score_stream(live.drop("mean_price"), params, spec, model, "survival", out, IO.scratch_path(spark, "stream-ckpt"))
     q.awaitTermination()
     return read_scores(spark, out).drop("epoch")
+
+
+@query(
+    "pca_covariance",
+    "O-104",
+    """WITH l AS (SELECT vec_id, i - 1 AS f, CAST(embedding[i] AS DOUBLE) AS v
+  FROM (SELECT vec_id, embedding, generate_subscripts(embedding, 1) AS i FROM embeddings))
+SELECT 'e' || CAST(a.f AS VARCHAR) AS col_a, 'e' || CAST(b.f AS VARCHAR) AS col_b,
+  round(covar_samp(a.v, b.v), 9) + 0.0 AS cov
+FROM l a JOIN l b USING (vec_id) GROUP BY a.f, b.f""",
+)
+def q_pca_covariance(spark, sf):
+    """The covariance matrix PCA diagonalises (64 embedding dimensions), exact."""
+    from ..plans.eda import covariance_long
+
+    e = load(spark, sf, "embeddings")
+    cols = [f"e{i}" for i in range(64)]
+    wide = e.select(*[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)])
+    out = covariance_long(wide, cols)
+    return out.select("col_a", "col_b", (F.round("cov", 9) + 0.0).alias("cov"))

@@ -55,6 +55,35 @@ def pca_2d(df: DataFrame, id_col: str, cols: Sequence[str], k: int = 2) -> DataF
     return out.select(id_col, *[(F.col("__a")[j] * signs[j]).alias(f"pc{j + 1}") for j in range(k)])
 
 
+def covariance_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """O-104 (exact part): sample covariance matrix of the PCA input (NULL → 0), long (col_a, col_b, cov).
+
+    One ``ml.stat.Correlation`` pass (a distributed d×d Gramian; the input has no
+    NULLs after NULL → 0) plus one pass for the standard deviations:
+    cov(a, b) = corr(a, b) · sd(a) · sd(b). The d×d result is bounded by the
+    column count.
+    """
+    from pyspark.ml.stat import Correlation
+
+    from ..operators.model import assemble
+
+    spark = df.sparkSession
+    cols = list(cols)
+    x = numeric_feature_frame(df.select(*cols)).select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
+    sd = x.agg(*[F.stddev_samp(f"`{c}`").alias(c) for c in cols]).first()
+    m = Correlation.corr(assemble(cols, "__vec").transform(x), "__vec").first()[0].toArray()
+    rows = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            if sd[a] is None or sd[b] is None:
+                rows.append((a, b, None))
+            elif i == j:
+                rows.append((a, b, float(sd[a]) ** 2))
+            else:
+                rows.append((a, b, float(m[i, j]) * float(sd[a]) * float(sd[b])))
+    return spark.createDataFrame(rows, "col_a string, col_b string, cov double")
+
+
 def eda_report(df: DataFrame, id_col: str, target: str, bias_cols: Sequence[str] = (), top_n: int = 20,
                max_features: int = 50) -> dict[str, DataFrame]:
     """O-106: correlation, top-variance features, mutual information, bias and PCA for one use case.
