@@ -248,3 +248,14 @@ def test_hash_row_number_many_buckets(spark, monkeypatch):
     b = df.withColumn("rn2", F.row_number().over(w)).select("id", "rn2")
     assert a.join(b, "id").where(F.col("rn") != F.col("rn2")).count() == 0
     assert a.count() == 2000
+
+
+def test_golden_label_classes_and_f1(spark):
+    from tabula.operators.encode import label_classes
+
+    df = spark.createDataFrame([(True,), (False,), (True,), (None,)], "t boolean")
+    got = [r.t for r in label_classes(df.where(F.col("t").isNotNull()).select(
+        F.when(F.col("t"), "True").otherwise("False").alias("t")), "t").orderBy("code").collect()]
+    assert got == ["False", "True"]  # sorted text classes, as logged by the reference
+    p, r = 0.686412, 0.810700
+    assert 2 * p * r / (p + r) == pytest.approx(0.743396, abs=1e-6)
