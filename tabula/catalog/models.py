@@ -10,15 +10,15 @@ from ..operators.profile import melt
 from ..operators.score import linear_attribution
 from ..operators.split import stratified_folds
 from ..plans.eda import eda_report, pca_2d
-from ..plans.experiment import loco_experiment, patient_table
+from ..plans.experiment import loco_experiment, entity_table
 from ..plans.preprocess import PrepSpec, apply_preprocess, fit_preprocess
 from ..session import load
 from ..sources import files as IO
 from .registry import query
 
 
-def patients(spark, sf):
-    return patient_table(load(spark, sf, "customer"), load(spark, sf, "nation"), load(spark, sf, "region"),
+def entities(spark, sf):
+    return entity_table(load(spark, sf, "customer"), load(spark, sf, "nation"), load(spark, sf, "region"),
                          load(spark, sf, "orders"))
 
 
@@ -48,7 +48,7 @@ def q_linear_regression(spark, sf):
 
 @query("preprocess_fit_apply", "O-89")
 def q_preprocess(spark, sf):
-    df = patients(spark, sf)
+    df = entities(spark, sf)
     spec = spec_for("regression")
     train = df.where(F.col("cohort") != "ASIA")
     params = fit_preprocess(train, spec)
@@ -57,16 +57,16 @@ def q_preprocess(spark, sf):
 
 @query("loco_experiment_regression", "O-90")
 def q_loco_regression(spark, sf):
-    return loco_experiment(patients(spark, sf), spec_for("regression"), grid_scale="small", max_splits=3)
+    return loco_experiment(entities(spark, sf), spec_for("regression"), grid_scale="small", max_splits=3)
 
 
 @query("loco_experiment_multilabel", "O-90")
 def q_loco_multilabel(spark, sf):
-    return loco_experiment(patients(spark, sf), spec_for("multilabel_classification"), grid_scale="small", max_splits=3)
+    return loco_experiment(entities(spark, sf), spec_for("multilabel_classification"), grid_scale="small", max_splits=3)
 
 
 def _prepared(spark, sf, task):
-    df = patients(spark, sf)
+    df = entities(spark, sf)
     spec = spec_for(task)
     params = fit_preprocess(df, spec)
     return apply_preprocess(df, params, spec, is_train=True), params, spec
@@ -161,7 +161,7 @@ def q_model_save_load(spark, sf):
 def q_batch_score(spark, sf):
     from ..plans.scoring import batch_score
 
-    df = patients(spark, sf)
+    df = entities(spark, sf)
     spec = spec_for("regression")
     train = df.where(F.col("cohort") != "EUROPE")
     params = fit_preprocess(train, spec)
@@ -193,7 +193,7 @@ def q_linear_attribution(spark, sf):
 
 @query("permutation_attribution", "O-103")
 def q_permutation_attribution(spark, sf):
-    """O-103b: sampled permutation Shapley values of a forest on the patient table."""
+    """O-103b: sampled permutation Shapley values of a forest on the entity table."""
     from ..plans.scoring import permutation_shapley
 
     x, p, spec = _prepared(spark, sf, "regression")
@@ -211,7 +211,7 @@ def q_pca(spark, sf):
 
 @query("eda_pipeline_report", "O-106")
 def q_eda(spark, sf):
-    x = patients(spark, sf).drop("sig_b")
+    x = entities(spark, sf).drop("sig_b")
     rep = eda_report(x, "id", "mean_price", bias_cols=["segment", "cohort"], top_n=20)
     mi = rep["mutual_information"].select(F.lit("mutual_information").alias("analysis"), F.col("feature").alias("item"),
                                            F.col("mi").alias("value"))
@@ -225,10 +225,10 @@ def q_eda(spark, sf):
 @query("stream_batch_score", "O-102")
 def q_stream_batch_score(spark, sf):
     """O-102 on a stream: the customer table read as a file stream, scored per micro-batch."""
-    from ..plans.experiment import patient_table
+    from ..plans.experiment import entity_table
     from ..streaming.scoring import read_scores, score_stream
 
-    df = patients(spark, sf)
+    df = entities(spark, sf)
     spec = spec_for("regression")
     params = fit_preprocess(df, spec)
     x = apply_preprocess(df, params, spec, is_train=True)
@@ -237,7 +237,7 @@ def q_stream_batch_score(spark, sf):
     stream = spark.readStream.schema(cust_schema).option("maxFilesPerTrigger", 1).parquet(
         f"{sf.rstrip('/')}/customer*.parquet"
     )
-    live = patient_table(stream, load(spark, sf, "nation"), load(spark, sf, "region"), load(spark, sf, "orders"))
+    live = entity_table(stream, load(spark, sf, "nation"), load(spark, sf, "region"), load(spark, sf, "orders"))
     out = IO.scratch_path(spark, "scores")
     q = score_stream(live.drop("mean_price"), params, spec, model, "survival", out, IO.scratch_path(spark, "stream-ckpt"))
     q.awaitTermination()

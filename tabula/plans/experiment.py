@@ -1,4 +1,4 @@
-"""Leave-one-cohort-out experiment (O-90) and the patient-like table used to exercise it.
+"""Leave-one-cohort-out experiment (O-90) and the entity table used to exercise it.
 
 Driver loop over the (few, bounded) cohorts; inside each fold every step is a
 Spark job: preprocessing fit/apply (O-89), stratified inner folds (O-53),
@@ -90,8 +90,8 @@ def loco_experiment(df: DataFrame, spec: PrepSpec, grid_scale: str = "small", ma
     return meta.join(allm, "held_out")
 
 
-def patient_table(customer: DataFrame, nation: DataFrame, region: DataFrame, orders: DataFrame) -> DataFrame:
-    """A patient-like wide table from the driver's tables: entity id, cohort, attributes, targets.
+def entity_table(customer: DataFrame, nation: DataFrame, region: DataFrame, orders: DataFrame) -> DataFrame:
+    """An entity table from the driver's tables: entity id, cohort, attributes, targets.
 
     Per customer: region (cohort), balance and segment (attributes), order
     statistics (numeric attributes), a positive/negative status text, and

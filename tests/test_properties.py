@@ -7,11 +7,11 @@ from .conftest import SF_SMALL
 
 
 @pytest.fixture(scope="module")
-def patients(spark):
-    from tabula.plans.experiment import patient_table
+def entities(spark):
+    from tabula.plans.experiment import entity_table
     from tabula.session import load
 
-    return patient_table(load(spark, SF_SMALL, "customer"), load(spark, SF_SMALL, "nation"),
+    return entity_table(load(spark, SF_SMALL, "customer"), load(spark, SF_SMALL, "nation"),
                          load(spark, SF_SMALL, "region"), load(spark, SF_SMALL, "orders")).cache()
 
 
@@ -22,11 +22,11 @@ def _spec():
                     boolean_cast_columns=["status"], outlier_columns=["balance", "n_orders"], task="regression")
 
 
-def test_fit_ignores_test_rows(spark, patients):
+def test_fit_ignores_test_rows(spark, entities):
     from tabula.plans.preprocess import fit_preprocess
 
-    train = patients.where(F.col("cohort") != "ASIA")
-    test_a = patients.where(F.col("cohort") == "ASIA")
+    train = entities.where(F.col("cohort") != "ASIA")
+    test_a = entities.where(F.col("cohort") == "ASIA")
     test_b = test_a.withColumn("balance", F.col("balance") * 1000)  # wildly different test rows
     p1 = fit_preprocess(train.unionByName(test_a.limit(0)), _spec())
     p2 = fit_preprocess(train.unionByName(test_b.limit(0)), _spec())
@@ -34,12 +34,12 @@ def test_fit_ignores_test_rows(spark, patients):
     assert {k: v["decision"] for k, v in p1["scalers"].items()} == {k: v["decision"] for k, v in p2["scalers"].items()}
 
 
-def test_centred_train_cohort_means_equal_global_mean(spark, patients):
+def test_centred_train_cohort_means_equal_global_mean(spark, entities):
     from tabula.plans.preprocess import center_apply, clean_rows, fit_preprocess
 
     spec = _spec()
-    p = fit_preprocess(patients, spec)
-    x = clean_rows(patients, spec, p["true_false_columns"])
+    p = fit_preprocess(entities, spec)
+    x = clean_rows(entities, spec, p["true_false_columns"])
     from tabula.plans.preprocess import apply_clip_threshold
 
     x = apply_clip_threshold(x, p, spec)
@@ -49,32 +49,32 @@ def test_centred_train_cohort_means_equal_global_mean(spark, patients):
         assert r.m == pytest.approx(glob, abs=1e-9)
 
 
-def test_apply_keeps_test_uncentred_and_feature_order(spark, patients):
+def test_apply_keeps_test_uncentred_and_feature_order(spark, entities):
     from tabula.plans.preprocess import apply_preprocess, fit_preprocess
 
     spec = _spec()
-    train = patients.where(F.col("cohort") != "ASIA")
+    train = entities.where(F.col("cohort") != "ASIA")
     p = fit_preprocess(train, spec)
-    out = apply_preprocess(patients.where(F.col("cohort") == "ASIA"), p, spec, is_train=False)
+    out = apply_preprocess(entities.where(F.col("cohort") == "ASIA"), p, spec, is_train=False)
     assert out.columns == ["id", "cohort", *p["features"], "mean_price"]
-    assert out.count() == patients.where(F.col("cohort") == "ASIA").count()
+    assert out.count() == entities.where(F.col("cohort") == "ASIA").count()
 
 
-def test_loco_roles_partition_rows(spark, patients):
+def test_loco_roles_partition_rows(spark, entities):
     from tabula.operators.split import cohort_list, loco_expand
 
-    folds = loco_expand(patients.select("id", "cohort"), "cohort")
-    k = len(cohort_list(patients, "cohort"))
-    n = patients.count()
+    folds = loco_expand(entities.select("id", "cohort"), "cohort")
+    k = len(cohort_list(entities, "cohort"))
+    n = entities.count()
     assert folds.count() == n * k
     assert folds.where(F.col("role") == "test").count() == n  # every row is test exactly once
     assert folds.where((F.col("role") == "test") & (F.col("fold") != F.col("cohort"))).count() == 0
 
 
-def test_stream_scoring_equals_batch(spark, patients):
+def test_stream_scoring_equals_batch(spark, entities):
     """Streaming scoring (per micro-batch) returns the same predictions as batch scoring."""
     from tabula.operators import model as ML
-    from tabula.plans.experiment import patient_table
+    from tabula.plans.experiment import entity_table
     from tabula.plans.preprocess import apply_preprocess, fit_preprocess
     from tabula.plans.scoring import batch_score
     from tabula.session import load
@@ -82,12 +82,12 @@ def test_stream_scoring_equals_batch(spark, patients):
     from tabula.streaming.scoring import read_scores, score_stream
 
     spec = _spec()
-    p = fit_preprocess(patients, spec)
-    x = apply_preprocess(patients, p, spec, is_train=True)
+    p = fit_preprocess(entities, spec)
+    x = apply_preprocess(entities, p, spec, is_train=True)
     model = ML.selection_pipeline(p["features"], ML.LinearRegression(labelCol="mean_price", solver="normal")).fit(x)
-    batch = batch_score(patients.drop("mean_price"), p, spec, model, "exp")
+    batch = batch_score(entities.drop("mean_price"), p, spec, model, "exp")
     stream = spark.readStream.schema(load(spark, SF_SMALL, "customer").schema).parquet(f"{SF_SMALL}/customer*.parquet")
-    live = patient_table(stream, load(spark, SF_SMALL, "nation"), load(spark, SF_SMALL, "region"),
+    live = entity_table(stream, load(spark, SF_SMALL, "nation"), load(spark, SF_SMALL, "region"),
                          load(spark, SF_SMALL, "orders")).drop("mean_price")
     out = scratch_path(spark, "t-scores")
     score_stream(live, p, spec, model, "exp", out, scratch_path(spark, "t-ckpt")).awaitTermination()
