@@ -34,19 +34,21 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def with_spans(df: DataFrame, text: str, out: str, pattern: str, group: int = 0) -> DataFrame:
+def with_spans(df: DataFrame, text: str, out: str, pattern: str | Column, group: int = 0) -> DataFrame:
     """Add ``out``: array of (start, end, hit, part) for each leftmost non-overlapping match, in code points.
 
     The pieces between matches (``split``) and the matches themselves alternate, so running sums of
-    their lengths give the positions; ``part`` is the given group of the match. Null text: no match.
+    their lengths give the positions; ``part`` is the given group of the match. Null text or a null
+    pattern: no match.
     """
     item = "struct<start:long,end:long,hit:string,part:string>"
     empty = F.array().cast(f"array<{item}>")
+    regex = F.lit(pattern) if isinstance(pattern, str) else pattern
     step = df.withColumn(
-        "__hits", F.when(F.col(text).rlike(pattern), F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)))
+        "__hits", F.when(F.regexp_like(F.col(text), regex), F.regexp_extract_all(F.col(text), regex, F.lit(0)))
     )
-    step = step.withColumn("__gaps", F.when(F.col("__hits").isNotNull(), F.split(F.col(text), pattern, -1)))
-    parts = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(group)) if group else F.col("__hits")
+    step = step.withColumn("__gaps", F.when(F.col("__hits").isNotNull(), F.split(F.col(text), regex, -1)))
+    parts = F.regexp_extract_all(F.col(text), regex, F.lit(group)) if group else F.col("__hits")
     step = step.withColumn("__parts", F.when(F.col("__hits").isNotNull(), parts))
 
     def take(acc: Column, x: Column) -> Column:

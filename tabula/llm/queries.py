@@ -4,5 +4,6 @@ from __future__ import annotations
 
 from . import (  # noqa: F401
     mixing_queries,
+    secrets_queries,
 )
 from .registry import ORACLE, QUERIES  # noqa: F401
