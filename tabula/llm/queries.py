@@ -6,5 +6,6 @@ from . import (  # noqa: F401
     mixing_queries,
     pii_queries,
     secrets_queries,
+    vector_queries,
 )
 from .registry import ORACLE, QUERIES  # noqa: F401
