@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import (  # noqa: F401
     mixing_queries,
+    ngram_queries,
     pii_queries,
     secrets_queries,
     vector_queries,
