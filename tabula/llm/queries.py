@@ -7,6 +7,7 @@ from . import (  # noqa: F401
     ngram_queries,
     pii_queries,
     secrets_queries,
+    toxicity_queries,
     vector_queries,
 )
 from .registry import ORACLE, QUERIES  # noqa: F401
