@@ -5,8 +5,10 @@ from __future__ import annotations
 from . import (  # noqa: F401
     mixing_queries,
     ngram_queries,
+    packing_queries,
     pii_queries,
     secrets_queries,
+    sharding_queries,
     toxicity_queries,
     vector_queries,
 )
