@@ -9,6 +9,7 @@ from . import (  # noqa: F401
     pii_queries,
     secrets_queries,
     sharding_queries,
+    suffix_queries,
     toxicity_queries,
     vector_queries,
 )
