@@ -36,7 +36,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_.-
 TOKEN = "[A-Za-z0-9+/=_-]{12,}"
 SMOOTHING = 0.5
 #: Least token length to judge, least mean and total log-likelihood ratio (nats) of a secret.
-MIN_LENGTH, MIN_MEAN, MIN_TOTAL = 16, 0.7, 14.0
+MIN_LENGTH, MIN_MEAN, MIN_TOTAL = 16, 0.4, 12.0
 
 
 def _codes(token: Column) -> Column:
