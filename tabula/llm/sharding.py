@@ -61,10 +61,11 @@ def propagate(counts: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Dat
         p = F.element_at(F.array(*[F.lit(x) for x in share]), F.col("to") + 1)
         open_room = F.element_at(F.array(*[F.lit(x) for x in free]), F.col("to") + 1)
         chance = F.pmod(F.xxhash64("g", F.lit(turn)), F.lit(1 << 30)) / float(1 << 30)
+        odds = F.pmod(F.xxhash64("g", "shard", F.lit(turn)), F.lit(1 << 30)) / float(1 << 30)  # rounds at random
         # small groups move whole or not at all, large ones in part
         gone = (
             F.when(F.col("to").isNull(), F.lit(0))
-            .when(F.col("n") * 20 > open_room, F.floor(F.col("n") * p))
+            .when(F.col("n") * 20 > open_room, F.least(F.col("n"), F.floor(F.col("n") * p + odds)))
             .when(chance < p, F.col("n"))
             .otherwise(F.lit(0))
             .cast("long")
