@@ -27,7 +27,7 @@ FROM lineitem, b""",
 def q_iqr_clip(spark, sf):
     li = lineitem_with_id(spark, sf)
     long = melt(li, ["row_id", "l_orderkey", "l_linenumber", "l_linestatus"], ["l_extendedprice"])
-    bounds = SC.fit_iqr_bounds(long.where(F.col("l_linestatus") == "F"), tiebreak="row_id")
+    bounds = SC.fit_iqr_bounds(long.where(F.col("l_linestatus") == "F"))
     out = SC.iqr_clip_long(long, bounds)
     return out.select("l_orderkey", "l_linenumber", r6("value").alias("l_extendedprice"))
 
@@ -138,7 +138,7 @@ SELECT column, CASE WHEN n = 0 THEN 'NoScaling' WHEN s IS NULL OR s = 0 THEN 'No
 @query("choose_scaler", "O-83", _scaler_sql())
 def q_choose_scaler(spark, sf):
     long = melt(lineitem_with_id(spark, sf), ["row_id"], SCALE_COLS)
-    out = SC.choose_scaler(long, tiebreak="row_id")
+    out = SC.choose_scaler(long)
     return out.select("column", "decision", r6("ks_stat").alias("ks_stat"), r6("kurtosis").alias("kurtosis"))
 
 
@@ -146,8 +146,8 @@ def _one_col(spark, sf, c):
     return melt(lineitem_with_id(spark, sf), ["row_id", "l_orderkey", "l_linenumber"], [c])
 
 
-def _apply_fixed(long, decision, tiebreak="row_id"):
-    st = SC.choose_scaler(long, tiebreak=tiebreak).withColumn("decision", F.lit(decision))
+def _apply_fixed(long, decision):
+    st = SC.choose_scaler(long).withColumn("decision", F.lit(decision))
     return SC.apply_params_long(long, st).select("l_orderkey", "l_linenumber", r6("value").alias("value"))
 
 

@@ -129,7 +129,7 @@ def fit_medians(train: DataFrame, cols: Sequence[str], id_col: str | None = None
 
     ids = [id_col] if id_col else []
     long = melt(train, ids, cols)
-    return exact_quantiles(long, ["column"], "value", [0.5], tiebreak=id_col, names=["median"])
+    return exact_quantiles(long, ["column"], "value", [0.5], names=["median"])
 
 
 def impute(df: DataFrame, medians: dict[str, float | None], categorical: Sequence[str], fill: str = UNKNOWN) -> DataFrame:

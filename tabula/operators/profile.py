@@ -69,7 +69,7 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 def iqr_profile(df: DataFrame, id_col: str, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """O-29: per column Q1, Q3, IQR, fences, outlier count and flag (exact quantiles)."""
     long = melt(df.withColumn("__rid", F.col(f"`{id_col}`")), ["__rid"], cols)
-    q = exact_quantiles(long, ["column"], "value", [0.25, 0.75], tiebreak="__rid", names=["q1", "q3"])
+    q = exact_quantiles(long, ["column"], "value", [0.25, 0.75], names=["q1", "q3"])
     q = (
         q.withColumn("iqr", F.col("q3") - F.col("q1"))
         .withColumn("lower", F.col("q1") - k * F.col("iqr"))
@@ -175,7 +175,7 @@ def boxplot_stats(df: DataFrame, id_col: str, cols: Sequence[str], k: float = 1.
     long = melt(df.withColumn("__rid", F.col(f"`{id_col}`")), ["__rid"], cols).where(
         F.col("value").isNotNull() & ~F.isnan("value")
     )
-    q = exact_quantiles(long, ["column"], "value", [0.25, 0.5, 0.75], tiebreak="__rid", names=["q1", "median", "q3"])
+    q = exact_quantiles(long, ["column"], "value", [0.25, 0.5, 0.75], names=["q1", "median", "q3"])
     q = q.withColumn("lower", F.col("q1") - k * (F.col("q3") - F.col("q1"))).withColumn(
         "upper", F.col("q3") + k * (F.col("q3") - F.col("q1"))
     )

@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, shuffle_partitions
+from ..session import cut_lineage, shuffle_partitions, stored
 
 
 def _cols(xs: Sequence[str | Column]) -> list[Column]:
@@ -91,124 +91,169 @@ def group_counts(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFram
     return df.groupBy(*keys).agg(F.count(F.lit(1)).cast("long").alias(out))
 
 
-# Groups × buckets of quantile metadata reach the driver; more groups than this is refused.
-MAX_QUANTILE_GROUPS = 100_000
-# Bucket ids are an unrolled comparison per boundary; beyond this a two-level bucketing
-# (coarse, then fine boundaries per coarse bucket) is the next step.
-MAX_BUCKETS = 512
+# Arithmetic buckets per refinement step; a bucket with at most SMALL distinct values is ordered by a window.
+# Both are independent of the cluster; the tests run other values.
+BUCKETS = 4_096
+SMALL = 100_000
 
 
 def _group_key(keys: Sequence[str]) -> Column:
-    """One text key per group (NULL-safe) for literal lookups."""
+    """One text key per group (NULL-safe)."""
     if not keys:
         return F.lit("")
     return F.concat_ws("\u0001", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in keys])
 
 
-def value_buckets(df: DataFrame, keys: Sequence[str], value: str, buckets: int | None = None,
-                  extra: Sequence[Column] = (), carry: Sequence[str] = ()):
-    """Shared first two passes of the bucket method (exact quantiles, KS).
+def value_table(df: DataFrame, keys: Sequence[str], value: str, carry: Sequence[str] = ()) -> DataFrame:
+    """(__gk, carry, __v, __n): how often each group has each value, NULL and NaN left out; written once.
 
-    Pass 1 (one grouped aggregation over all rows): a ``percentile_approx``
-    sketch per group, the group's key values and any ``extra`` aggregates; the
-    G × B boundaries are collected once and attached to rows as plain columns by
-    a broadcast hash join, so every later pass sees identical buckets. Bucket ids
-    are ordered like values: interval (b[i-1], b[i]) = 2i, point {b[i]} = 2i + 1.
-    Pass 2: exact count/min/max per (group, bucket), collected (G × 2B rows).
-
-    Returns (tagged rows (keys, __gk, __v, __bk), meta rows, key values per group,
-    sketch rows).
+    All exact order statistics start from it: counting is a partial aggregation, so a repeated value costs one row
+    a task, and columns of few distinct values become tiny.
     """
-    spark = df.sparkSession
-    keys = list(keys)
-    # buckets follow the cluster's cores (2 per core, 16..512): interval buckets stay ≈ n/B
-    b = buckets or min(MAX_BUCKETS, max(16, 2 * spark.sparkContext.defaultParallelism))
-    gk = _group_key(keys)
     v = F.col(value).cast("double")
-    carry = [c for c in carry if c not in keys]
-    allrows = df.select(*keys, *carry, gk.alias("__gk"), F.when(v.isNotNull() & ~F.isnan(v), v).alias("__v"))
-    clean = allrows.where(F.col("__v").isNotNull())
-    inner = [i / b for i in range(1, b)]
-    sketch = allrows.groupBy("__gk").agg(
-        # rank error ≤ n/accuracy keeps each interval bucket within ~1.1 × n/B rows
-        F.percentile_approx("__v", inner, max(1_000, 10 * b)).alias("__b"),
-        *[F.first(k).alias(k) for k in keys],
-        *extra,
-    ).limit(MAX_QUANTILE_GROUPS + 1).collect()
-    if len(sketch) > MAX_QUANTILE_GROUPS:
-        raise ValueError("too many groups for the bucket method")
-    key_vals = {r["__gk"]: tuple(r[k] for k in keys) for r in sketch}
-    bounds = {r["__gk"]: sorted(set(r["__b"])) for r in sketch if r["__b"] is not None}
-    # boundaries padded with NaN to a fixed width (NaN compares neither < v nor = v): the
-    # bucket is an unrolled comparison sum inside whole-stage codegen
-    width = max([len(x) for x in bounds.values()] + [1])
-    nan = float("nan")
-    bt = spark.createDataFrame(
-        [(k, *[float(t) for t in x], *([nan] * (width - len(x)))) for k, x in bounds.items()] or [("", *([nan] * width))],
-        ", ".join(["__gk string"] + [f"__b{i} double" for i in range(width)]),
+    rows = df.select(_group_key(keys).alias("__gk"), *carry, v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    return stored(rows.groupBy("__gk", *carry, "__v").agg(F.count(F.lit(1)).alias("__n")), "values")
+
+
+def _bucket(buckets: int) -> Column:
+    """Place of __v between __lo and __hi: 0 .. buckets - 1 by arithmetic, ascending with the value."""
+    # halves keep the range of extreme doubles finite
+    span = F.col("__hi") / 2 - F.col("__lo") / 2
+    part = F.when(span > 0, (F.col("__v") / 2 - F.col("__lo") / 2) / span).otherwise(F.lit(0.0))
+    return F.least(F.floor(F.coalesce(F.nanvl(part, F.lit(1.0)), F.lit(0.0)) * F.lit(float(buckets))), F.lit(buckets - 1)).cast("long")
+
+
+def _bucket_counts(vt: DataFrame, segments: DataFrame, buckets: int, folds: Sequence[str] | None) -> DataFrame:
+    """(__gk, __lo, __hi, __b, n, lo, hi, d, before): the buckets of each segment and the rows before them in it."""
+    carry = ["__c"] if folds else []
+    seg = segments.select("__gk", "__lo", "__hi").distinct()
+    if folds:  # segments of all folds cut the one table; each fold then leaves its own cohort out
+        rows = vt.join(seg.withColumnRenamed("__gk", "__f").withColumn("__gk", F.lit("")), "__gk").where(
+            ~F.col("__c").eqNullSafe(F.col("__f"))
+        ).drop("__gk", "__c").withColumnRenamed("__f", "__gk")
+    else:
+        rows = vt.join(seg, "__gk")
+    rows = rows.where((F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
+    counts = rows.groupBy("__gk", "__lo", "__hi", _bucket(buckets).alias("__b")).agg(
+        F.sum("__n").alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi"), F.count(F.lit(1)).alias("d")
     )
-    below = sum((F.col(f"__b{i}") < F.col("__v")).cast("int") for i in range(width))
-    equal = sum((F.col(f"__b{i}") == F.col("__v")).cast("int") for i in range(width))
-    tagged = clean.join(F.broadcast(bt), "__gk").select(
-        *keys, *carry, "__gk", "__v", (F.lit(2) * below + equal).alias("__bk")
-    )
-    meta = tagged.groupBy("__gk", "__bk", *carry).agg(
-        F.count(F.lit(1)).alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi")
-    ).collect()
-    return tagged, meta, key_vals, sketch
+    run = Window.partitionBy("__gk", "__lo", "__hi").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("before", F.coalesce(F.sum("n").over(run), F.lit(0)))
 
 
-def ks_normal_stats(df: DataFrame, keys: Sequence[str], value: str, buckets: int | None = None) -> DataFrame:
-    """One-sample KS statistic against N(mean, std) per group, without sorting the table.
+def _inside(vt: DataFrame, segments: DataFrame, folds: Sequence[str] | None) -> DataFrame:
+    """Rows (__gk, __lo, __hi, segment columns, __v, __n, __upto) of small segments, counted up in value order."""
+    extra = [c for c in segments.columns if c not in ("__gk", "__lo", "__hi")]
+    if folds:
+        rows = vt.join(segments.withColumnRenamed("__gk", "__f").withColumn("__gk", F.lit("")), "__gk").where(
+            ~F.col("__c").eqNullSafe(F.col("__f"))
+        )
+        rows = rows.where((F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
+        rows = rows.groupBy(F.col("__f").alias("__gk"), "__lo", "__hi", *extra, "__v").agg(F.sum("__n").alias("__n"))
+    else:
+        rows = vt.join(segments, "__gk").where((F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
+    run = Window.partitionBy("__gk", "__lo", "__hi").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("__upto", F.sum("__n").over(run))
 
-    D = max over the sorted sample of max(i/n − F(x_i), F(x_i) − (i−1)/n). It does
-    not depend on how ties are ordered, so ranks come from the buckets: a point
-    bucket (one repeated value) contributes its first and last rank in closed
-    form; rows of interval buckets (≈ n/B each) get exact ranks from a window
-    partitioned by (group, bucket). Returns keys, n, mean, std, ks_stat.
-    """
-    from pyspark.sql import types as T
 
-    from ..functions.numeric import normal_cdf
+def select_ranks(vt: DataFrame, want: DataFrame, buckets: int | None = None, folds: Sequence[str] | None = None) -> DataFrame:
+    """(__gk, __r, __v): the value at each wanted 0-based rank of a group.
 
-    spark = df.sparkSession
-    keys = list(keys)
-    x = F.col("__v")
-    tagged, meta, key_vals, sketch = value_buckets(
-        df, keys, value, buckets,
-        extra=[F.count("__v").alias("__n"), F.avg("__v").alias("__m"), F.stddev_samp("__v").alias("__s")],
+    ``want`` has __gk, __r and the group's __lo and __hi. Each step cuts the segment that holds a rank into
+    arithmetic buckets and goes on in the bucket that holds it, until it has one value or at most SMALL distinct ones.
+    """
+    buckets = buckets or BUCKETS
+    state, done = want.withColumn("__at", F.col("__r")), None
+    while True:
+        b = _bucket_counts(vt, state, buckets, folds)
+        keys = ["__gk", "__lo", "__hi"]
+        state = state.join(b, keys).where((F.col("__at") >= F.col("before")) & (F.col("__at") < F.col("before") + F.col("n")))
+        state = stored(
+            state.select(
+                "__gk", "__r", F.col("lo").alias("__lo"), F.col("hi").alias("__hi"),
+                (F.col("__at") - F.col("before")).alias("__at"), "d",
+            ),
+            "ranks",
+        )
+        ready = state.where((F.col("__lo") == F.col("__hi")) | (F.col("d") <= SMALL))
+        done = ready if done is None else done.unionByName(ready)
+        state = state.where((F.col("__lo") < F.col("__hi")) & (F.col("d") > SMALL)).drop("d")
+        if state.isEmpty():
+            break
+    exact = done.where("__lo = __hi").select("__gk", "__r", F.col("__lo").alias("__v"))
+    part = done.where("__lo < __hi").drop("d")
+    rows = _inside(vt, part.select("__gk", "__lo", "__hi").distinct(), folds).drop("__c")
+    hit = rows.join(part, ["__gk", "__lo", "__hi"]).where(
+        (F.col("__at") < F.col("__upto")) & (F.col("__at") >= F.col("__upto") - F.col("__n"))
     )
-    st = {r["__gk"]: (r["__n"], r["__m"], r["__s"]) for r in sketch}
-    per_group: dict[str, list] = {}
-    for r in meta:
-        per_group.setdefault(r["__gk"], []).append((r["__bk"], r["n"], r["lo"], r["hi"]))
-    points, intervals = [], []
-    for g, rows in per_group.items():
-        n, m, sd = st[g]
-        if sd is None or sd <= 0:
-            continue
-        acc = 0
-        for bk, cnt, lo, hi in sorted(rows):
-            if lo == hi:
-                points.append((g, float(lo), acc + 1, acc + cnt, n, m, sd))
-            else:
-                intervals.append((g, int(bk), acc, n, m, sd))
-            acc += cnt
-    ctx = "__gk string, __v double, __i0 long, __i1 long, __n long, __m double, __s double"
-    pts = spark.createDataFrame(points, ctx)
-    cdf = normal_cdf((x - F.col("__m")) / F.col("__s"))
-    nn = F.col("__n").cast("double")
-    d_pts = pts.select("__gk", F.greatest(F.col("__i1") / nn - cdf, cdf - (F.col("__i0") - 1) / nn).alias("__d"))
-    iv = spark.createDataFrame(intervals, "__gk string, __bk int, __start long, __n long, __m double, __s double")
-    rows = tagged.join(F.broadcast(iv), ["__gk", "__bk"])  # ≤ G × B rows broadcast
-    i = F.col("__start") + F.row_number().over(Window.partitionBy("__gk", "__bk").orderBy("__v"))
-    d_iv = rows.select("__gk", F.greatest(i / nn - cdf, cdf - (i - 1) / nn).alias("__d"))
-    d = {r["__gk"]: r["d"] for r in d_pts.unionByName(d_iv).groupBy("__gk").agg(F.max("__d").alias("d")).collect()}
-    key_fields = [next(f for f in df.schema.fields if f.name == k) for k in keys]
-    schema = T.StructType([*key_fields, T.StructField("n", T.LongType()), T.StructField("mean", T.DoubleType()),
-                           T.StructField("std", T.DoubleType()), T.StructField("ks_stat", T.DoubleType())])
-    out = [(*kv, int(st[g][0]), st[g][1], st[g][2], d.get(g)) for g, kv in key_vals.items()]
-    return spark.createDataFrame(out, schema)
+    return exact.unionByName(hit.select("__gk", "__r", "__v"))
+
+
+def _interpolated(groups: DataFrame, vt: DataFrame, probs: Sequence[float], names: Sequence[str], buckets: int | None,
+                  folds: Sequence[str] | None = None) -> DataFrame:
+    """``groups`` (__gk, __total, __lo, __hi, ...) with one column per probability (linear interpolation)."""
+    ps = F.array(*[F.lit(float(p)) for p in probs])
+    h = (F.col("__total") - 1).cast("double") * F.col("__p")
+    at = groups.where("__total > 0").select("__gk", "__total", "__lo", "__hi", F.posexplode(ps).alias("__i", "__p"))
+    at = at.withColumn("__floor", F.floor(h)).withColumn("__ceil", F.ceil(h)).withColumn("__frac", h - F.floor(h))
+    want = at.select("__gk", "__lo", "__hi", F.explode(F.array("__floor", "__ceil")).alias("__r")).distinct()
+    got = select_ranks(vt, want, buckets, folds)
+    lo = got.select("__gk", F.col("__r").alias("__floor"), F.col("__v").alias("__vlo"))
+    hi = got.select("__gk", F.col("__r").alias("__ceil"), F.col("__v").alias("__vhi"))
+    q = at.join(lo, ["__gk", "__floor"]).join(hi, ["__gk", "__ceil"])
+    val = F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.col("__frac")
+    wide = q.groupBy("__gk").agg(*[F.max(F.when(F.col("__i") == i, val)).alias(n) for i, n in enumerate(names)])
+    return groups.join(wide, "__gk", "left")
+
+
+def ks_deviation(groups: DataFrame, vt: DataFrame, buckets: int | None = None) -> DataFrame:
+    """(__gk, ks_stat): largest distance of each group's empirical distribution from N(__mean, __std).
+
+    The first and last value of a bucket give deviations that are attained; within it none exceeds the distance of
+    the last count from the first value's probability (and the reverse). Only buckets whose bound is above what is
+    attained so far are opened: by a window if small, else cut again.
+    """
+    from ..functions.numeric import normal_cdf
+
+    buckets = buckets or BUCKETS
+    g = groups.where("__std > 0").select("__gk", F.col("__total").cast("double").alias("__t"), "__mean", "__std")
+    cdf = lambda c: normal_cdf((F.col(c) - F.col("__mean")) / F.col("__std"))
+    seg = groups.where("__std > 0").select("__gk", "__lo", "__hi", F.lit(0).cast("long").alias("__start"))
+    found = None
+    while True:
+        b = _bucket_counts(vt, seg, buckets, None).join(seg, ["__gk", "__lo", "__hi"]).join(g, "__gk")
+        first, last = F.col("__start") + F.col("before"), F.col("__start") + F.col("before") + F.col("n")
+        flo, fhi = cdf("lo"), cdf("hi")
+        b = b.select(
+            "__gk", "lo", "hi", "d", first.alias("first"),
+            F.greatest(last / F.col("__t") - fhi, flo - first / F.col("__t")).alias("attained"),
+            F.greatest(last / F.col("__t") - flo, fhi - first / F.col("__t")).alias("bound"),
+        )
+        b = stored(b, "ks")
+        best = b.groupBy("__gk").agg(F.max("attained").alias("best"))
+        found = best if found is None else found.unionByName(best).groupBy("__gk").agg(F.max("best").alias("best"))
+        opened = b.join(found, "__gk").where("bound > best and lo < hi").select(
+            "__gk", F.col("lo").alias("__lo"), F.col("hi").alias("__hi"), F.col("first").alias("__start"), "d"
+        )
+        small = opened.where(F.col("d") <= SMALL).drop("d")
+        rows = _inside(vt, small, None).join(g, "__gk")
+        upto = F.col("__start") + F.col("__upto")
+        dev = F.greatest(upto / F.col("__t") - cdf("__v"), cdf("__v") - (upto - F.col("__n")) / F.col("__t"))
+        inner = rows.groupBy("__gk").agg(F.max(dev).alias("best"))
+        found = stored(found.unionByName(inner).groupBy("__gk").agg(F.max("best").alias("best")), "ks")
+        seg = opened.where(F.col("d") > SMALL).drop("d")
+        if seg.isEmpty():
+            return found.select("__gk", F.col("best").alias("ks_stat"))
+
+
+def _groups(df: DataFrame, keys: Sequence[str], value: str, extra: Sequence[Column] = ()) -> DataFrame:
+    """One row per group of ``df`` (groups without any value too): keys, __gk, __total, __lo, __hi and ``extra``."""
+    v = F.col(value).cast("double")
+    rows = df.select(*keys, _group_key(keys).alias("__gk"), F.when(v.isNotNull() & ~F.isnan(v), v).alias("__v"))
+    agg = [F.count("__v").alias("__total"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), *extra]
+    if not keys:
+        return rows.agg(*agg).withColumn("__gk", F.lit(""))
+    return rows.groupBy("__gk").agg(*agg, *[F.first(k).alias(k) for k in keys])
 
 
 def exact_quantiles(
@@ -216,87 +261,25 @@ def exact_quantiles(
     keys: Sequence[str],
     value: str,
     probs: Sequence[float],
-    tiebreak: str | None = None,
     names: Sequence[str] | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
-    """Exact linear-interpolation quantiles per group (pandas / ``quantile_cont``).
-
-    NULL and NaN are ignored. Three passes, none of which sorts the table:
-
-    1. ``percentile_approx`` per group gives B-1 bucket boundaries (a mergeable
-       sketch; the G×B numbers are collected once and used as literals, so every
-       later pass sees the same buckets);
-    2. exact count/min/max per (group, bucket) by partial aggregation. A row equal
-       to a boundary value goes to that value's own point bucket, so a heavily
-       repeated value never inflates an interval bucket;
-    3. only the interval buckets holding a wanted rank (≈ n/B rows each) are
-       filtered and ranked exactly with a window; point buckets and buckets with
-       min = max answer directly.
-
-    ``tiebreak`` is accepted for interface compatibility; quantile values do not
-    depend on how ties are ordered.
-    """
-    import bisect
-    import math
-
-    spark = df.sparkSession
+    """Exact linear-interpolation quantiles per group (pandas / ``quantile_cont``); NULL and NaN are ignored."""
     keys = list(keys)
     names = list(names) if names else [f"q_{str(p).replace('.', '_')}" for p in probs]
-    tagged, meta, key_vals, _ = value_buckets(df, keys, value, buckets)
-    per_group: dict[str, list] = {}
-    for r in meta:
-        per_group.setdefault(r["__gk"], []).append((r["__bk"], r["n"], r["lo"], r["hi"]))
-    # locate each wanted rank: (group, bucket, local rank) or a direct value
-    direct: dict[tuple, float] = {}
-    need: dict[tuple, set] = {}
-    plan: dict[str, list] = {}
-    for g, rows in per_group.items():
-        rows.sort()
-        starts, acc = [], 0
-        for _, n, _, _ in rows:
-            starts.append(acc)
-            acc += n
-        total = acc
-        picks = []
-        for p in probs:
-            h = (total - 1) * float(p)
-            pair = []
-            for rank0 in (math.floor(h), math.ceil(h)):
-                i = bisect.bisect_right(starts, rank0) - 1
-                bk, n, lo, hi = rows[i]
-                local = rank0 - starts[i] + 1
-                if lo == hi:
-                    direct[(g, bk, local)] = lo
-                else:
-                    need.setdefault((g, bk), set()).add(local)
-                pair.append((bk, local))
-            picks.append((pair, h - math.floor(h)))
-        plan[g] = picks
-    if need:
-        # the few interval buckets holding a wanted rank: ranked exactly, each ≈ n/B rows
-        wanted = spark.createDataFrame(
-            [(g, int(bk), int(loc)) for (g, bk), ls in need.items() for loc in ls], "__gk string, __bk int, __r int"
-        )
-        sub = tagged.join(F.broadcast(wanted.select("__gk", "__bk").distinct()), ["__gk", "__bk"], "left_semi")
-        sub = sub.withColumn("__r", F.row_number().over(Window.partitionBy("__gk", "__bk").orderBy("__v")))
-        hit = sub.join(F.broadcast(wanted), ["__gk", "__bk", "__r"], "inner")
-        for r in hit.select("__gk", "__bk", "__r", "__v").collect():
-            direct[(r["__gk"], r["__bk"], r["__r"])] = r["__v"]
-    out_rows = []
-    for g, kv in key_vals.items():
-        vals = []
-        for (lo_b, hi_b), frac in plan.get(g, []):
-            vlo, vhi = direct[(g, *lo_b)], direct[(g, *hi_b)]
-            vals.append(vlo + (vhi - vlo) * frac)
-        out_rows.append((*kv, *(vals or [None] * len(names))))
-    from pyspark.sql import types as T
-
-    key_fields = [next(f for f in df.schema.fields if f.name == k) for k in keys]
-    schema = T.StructType([*key_fields, *[T.StructField(nm, T.DoubleType()) for nm in names]])
-    if not keys and not out_rows:
-        out_rows = [tuple([None] * len(names))]
-    return spark.createDataFrame(out_rows, schema)
+    groups = stored(_groups(df, keys, value), "groups")
+    return _interpolated(groups, value_table(df, keys, value), probs, names, buckets).select(*keys, *names)
+
+
+def ks_normal_stats(df: DataFrame, keys: Sequence[str], value: str, buckets: int | None = None) -> DataFrame:
+    """One-sample KS statistic against N(mean, std) per group: keys, n, mean, std, ks_stat."""
+    keys = list(keys)
+    extra = [F.avg("__v").alias("__mean"), F.stddev_samp("__v").alias("__std")]
+    groups = stored(_groups(df, keys, value, extra), "groups")
+    d = ks_deviation(groups, value_table(df, keys, value), buckets)
+    return groups.join(d, "__gk", "left").select(
+        *keys, F.col("__total").alias("n"), F.col("__mean").alias("mean"), F.col("__std").alias("std"), "ks_stat"
+    )
 
 
 def dense_codes(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str = "code") -> DataFrame:
@@ -310,105 +293,17 @@ def dense_codes(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
 
 def distribution_profile(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
                          names: Sequence[str], buckets: int | None = None) -> DataFrame:
-    """Moments, exact quantiles and the KS-normal statistic per group in three passes.
+    """Moments, exact quantiles and the KS-normal statistic per group, all from one value table.
 
-    Pass 1: bucket sketch plus count, mean, std, min, max, zero ratio and
-    population excess kurtosis (all mergeable). Pass 2: exact bucket statistics.
-    Pass 3: one window inside interval buckets gives both the KS maximum and the
-    values at the wanted quantile ranks (point buckets answer in closed form).
-    Returns keys, n, mean, std, min, max, zero_ratio, kurt_pop, ks_stat, <names>.
+    Returns keys, n, mean, std, min, max, zero_ratio, kurt_pop (population excess kurtosis), ks_stat, <names>.
     """
-    import bisect
-    import math
-
-    from pyspark.sql import types as T
-
-    from ..functions.numeric import normal_cdf
-
-    spark = df.sparkSession
-    keys = list(keys)
-    names = list(names)
-    x = F.col("__v")
-    extra = [F.count(x).alias("__n"), F.avg(x).alias("__m"), F.stddev_samp(x).alias("__s"), F.min(x).alias("__mn"),
-             F.max(x).alias("__mx"), F.avg((x == 0).cast("double")).alias("__z"), F.kurtosis(x).alias("__k")]
-    tagged, meta, key_vals, sketch = value_buckets(df, keys, value, buckets, extra=extra)
-    st = {r["__gk"]: r for r in sketch}
-    per_group: dict[str, list] = {}
-    for r in meta:
-        per_group.setdefault(r["__gk"], []).append((r["__bk"], r["n"], r["lo"], r["hi"]))
-    points, intervals, wanted, direct, plan = [], {}, set(), {}, {}
-    for g, rows in per_group.items():
-        rows.sort()
-        n, m, sd = st[g]["__n"], st[g]["__m"], st[g]["__s"]
-        starts, acc = [], 0
-        for bk, cnt, lo, hi in rows:
-            starts.append(acc)
-            if lo == hi:
-                if sd is not None and sd > 0:
-                    points.append((g, float(lo), acc + 1, acc + cnt, n, m, sd))
-            else:
-                intervals[(g, bk)] = (acc, n, m, sd if sd is not None else 0.0)
-            acc += cnt
-        picks = []
-        for p in probs:
-            h = (acc - 1) * float(p)
-            pair = []
-            for rank0 in (math.floor(h), math.ceil(h)):
-                i = bisect.bisect_right(starts, rank0) - 1
-                bk, cnt, lo, hi = rows[i]
-                local = rank0 - starts[i] + 1
-                if lo == hi:
-                    direct[(g, bk, local)] = lo
-                else:
-                    wanted.add((g, int(bk), int(local)))
-                pair.append((bk, local))
-            picks.append((pair, h - math.floor(h)))
-        plan[g] = picks
-    nn = F.col("__n").cast("double")
-    cdf = normal_cdf((x - F.col("__m")) / F.col("__s"))
-    parts = []
-    if points:
-        pts = spark.createDataFrame(points, "__gk string, __v double, __i0 long, __i1 long, __n long, __m double, __s double")
-        parts.append(pts.groupBy("__gk").agg(
-            F.max(F.greatest(F.col("__i1") / nn - cdf, cdf - (F.col("__i0") - 1) / nn)).alias("__val")
-        ).select("__gk", F.lit(-1).alias("__bk"), F.lit(-1).cast("long").alias("__r"), "__val"))
-    if intervals:
-        iv = spark.createDataFrame([(g, int(bk), *v) for (g, bk), v in intervals.items()],
-                                   "__gk string, __bk int, __start long, __n long, __m double, __s double")
-        ranked = tagged.join(F.broadcast(iv), ["__gk", "__bk"]).withColumn(
-            "__r", F.row_number().over(Window.partitionBy("__gk", "__bk").orderBy("__v")).cast("long")
-        )
-        i = F.col("__start") + F.col("__r")
-        ks = ranked.where(F.col("__s") > 0).groupBy("__gk").agg(
-            F.max(F.greatest(i / nn - cdf, cdf - (i - 1) / nn)).alias("__val")
-        ).select("__gk", F.lit(-1).alias("__bk"), F.lit(-1).cast("long").alias("__r"), "__val")
-        parts.append(ks)
-        if wanted:
-            w = spark.createDataFrame(sorted(wanted), "__gk string, __bk int, __r long")
-            parts.append(ranked.join(F.broadcast(w), ["__gk", "__bk", "__r"]).select("__gk", "__bk", "__r", F.col("__v").alias("__val")))
-    ks_max: dict[str, float] = {}
-    if parts:
-        u = parts[0]
-        for p_ in parts[1:]:
-            u = u.unionByName(p_)
-        for r in u.collect():  # ≤ G × (1 + 2·#probs) rows
-            if r["__bk"] == -1:
-                ks_max[r["__gk"]] = max(ks_max.get(r["__gk"], float("-inf")), r["__val"])
-            else:
-                direct[(r["__gk"], r["__bk"], r["__r"])] = r["__val"]
-    out = []
-    for g, kv in key_vals.items():
-        s_ = st[g]
-        qs = []
-        for (lo_b, hi_b), frac in plan.get(g, []):
-            vlo, vhi = direct[(g, *lo_b)], direct[(g, *hi_b)]
-            qs.append(vlo + (vhi - vlo) * frac)
-        qs = qs or [None] * len(names)
-        ksv = ks_max.get(g) if (s_["__s"] is not None and s_["__s"] > 0) else None
-        out.append((*kv, int(s_["__n"]), s_["__m"], s_["__s"], s_["__mn"], s_["__mx"], s_["__z"], s_["__k"], ksv, *qs))
-    key_fields = [next(f for f in df.schema.fields if f.name == k) for k in keys]
-    dbl = T.DoubleType()
-    schema = T.StructType([*key_fields, T.StructField("n", T.LongType()),
-                           *[T.StructField(c, dbl) for c in ["mean", "std", "min", "max", "zero_ratio", "kurt_pop",
-                                                              "ks_stat", *names]]])
-    return spark.createDataFrame(out, schema)
+    keys, x = list(keys), F.col("__v")
+    extra = [F.avg(x).alias("__mean"), F.stddev_samp(x).alias("__std"),
+             F.avg((x == 0).cast("double")).alias("zero_ratio"), F.kurtosis(x).alias("kurt_pop")]
+    groups = stored(_groups(df, keys, value, extra), "groups")
+    vt = value_table(df, keys, value)
+    out = _interpolated(groups, vt, probs, list(names), buckets).join(ks_deviation(groups, vt, buckets), "__gk", "left")
+    return out.select(
+        *keys, F.col("__total").alias("n"), F.col("__mean").alias("mean"), F.col("__std").alias("std"),
+        F.col("__lo").alias("min"), F.col("__hi").alias("max"), "zero_ratio", "kurt_pop", "ks_stat", *names,
+    )

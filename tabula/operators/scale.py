@@ -27,9 +27,9 @@ KS_P_MIN, KS_D_MAX, KURT_STANDARD, KURT_ROBUST, ZERO_RATIO_LOG = 0.05, 0.08, 1.0
 
 
 # ------------------------------------------------------------ IQR clipping
-def fit_iqr_bounds(long: DataFrame, keys: Sequence[str] = (), tiebreak: str | None = None, k: float = 1.5) -> DataFrame:
+def fit_iqr_bounds(long: DataFrame, keys: Sequence[str] = (), k: float = 1.5) -> DataFrame:
     """O-69 fit on train rows: (keys, column, q1, q3, lower, upper)."""
-    q = exact_quantiles(long, [*keys, "column"], "value", [0.25, 0.75], tiebreak=tiebreak, names=["q1", "q3"])
+    q = exact_quantiles(long, [*keys, "column"], "value", [0.25, 0.75], names=["q1", "q3"])
     iqr = F.col("q3") - F.col("q1")
     return q.withColumn("lower", F.col("q1") - k * iqr).withColumn("upper", F.col("q3") + k * iqr)
 
@@ -85,7 +85,7 @@ def threshold_long(long: DataFrame, t: float = 1.5) -> DataFrame:
 
 
 # --------------------------------------------------------- scaler choice
-def scaler_stats(long: DataFrame, keys: Sequence[str] = (), tiebreak: str | None = None) -> DataFrame:
+def scaler_stats(long: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Per (keys, column): n, mean, std, min, max, zero ratio, G2 kurtosis, KS D and p, Q1/median/Q3.
 
     Three passes over the long layout (see ``distribution_profile``); no sort of
@@ -113,10 +113,9 @@ def decision_expr(signal_cols: Sequence[str] = ()) -> Column:
     )
 
 
-def choose_scaler(long: DataFrame, keys: Sequence[str] = (), signal_cols: Sequence[str] = (),
-                  tiebreak: str | None = None) -> DataFrame:
+def choose_scaler(long: DataFrame, keys: Sequence[str] = (), signal_cols: Sequence[str] = ()) -> DataFrame:
     """O-83: decision per (keys, column) plus every parameter a transform needs."""
-    st = scaler_stats(long, keys, tiebreak)
+    st = scaler_stats(long, keys)
     return st.withColumn("decision", decision_expr(signal_cols)).withColumn("iqr", F.col("q3") - F.col("q1"))
 
 

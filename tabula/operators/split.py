@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .rank import group_counts, row_number_by
 
 # A LOCO fold list is brought to the driver; it must stay a small, bounded list.
@@ -201,75 +202,21 @@ def loco_quantiles(df: DataFrame, cohort: str, value: str, probs: Sequence[float
                    cohorts: Sequence[str] | None = None, names: Sequence[str] | None = None) -> DataFrame:
     """Exact train-split quantiles of every LOCO fold without copying rows per fold.
 
-    Buckets are global (one sketch over all rows); exact count/min/max are
-    computed per (cohort, bucket) in one aggregation and combined per fold as
-    "all cohorts but f" (counts add, min/max decompose; a NULL cohort belongs to
-    every fold's train split). Only rows of the few buckets that hold a wanted
-    rank are paired with the folds that need them (≤ k copies of ≈ n/B rows) and
-    ranked with a window. Returns (fold, one column per probability).
+    One table of (cohort, value) counts serves all folds: a fold's counts are those of all cohorts but its own (a
+    NULL cohort belongs to every fold's train split), and each fold opens only the buckets that hold its ranks.
+    Returns (fold, one column per probability); a fold without train values has NULLs.
     """
-    import bisect
-    import math
-
-    from .rank import value_buckets
+    from .rank import _interpolated, value_table
 
     spark = df.sparkSession
     cohorts = list(cohorts) if cohorts is not None else cohort_list(df, cohort)
     names = list(names) if names else [f"q_{str(p).replace('.', '_')}" for p in probs]
     src = df.select(F.col(cohort).cast("string").alias("__c"), F.col(value).alias("__x"))
-    tagged, meta, _, _ = value_buckets(src, [], "__x", carry=["__c"])
-    by_bucket: dict[int, list] = {}
-    for r in meta:
-        by_bucket.setdefault(r["__bk"], []).append((r["__c"], r["n"], r["lo"], r["hi"]))
-    direct: dict[tuple, float] = {}
-    need: set[tuple] = set()
-    plan: dict[str, list] = {}
-    for f in cohorts:
-        rows = []
-        for bk in sorted(by_bucket):
-            part = [(n, lo, hi) for c, n, lo, hi in by_bucket[bk] if c != f]
-            if part:
-                rows.append((bk, sum(p[0] for p in part), min(p[1] for p in part), max(p[2] for p in part)))
-        starts, acc = [], 0
-        for _, n, _, _ in rows:
-            starts.append(acc)
-            acc += n
-        picks = []
-        for p in probs:
-            if acc == 0:
-                picks.append(None)
-                continue
-            h = (acc - 1) * float(p)
-            pair = []
-            for rank0 in (math.floor(h), math.ceil(h)):
-                i = bisect.bisect_right(starts, rank0) - 1
-                bk, n, lo, hi = rows[i]
-                local = rank0 - starts[i] + 1
-                if lo == hi:
-                    direct[(f, bk, local)] = lo
-                else:
-                    need.add((f, bk, local))
-                pair.append((bk, local))
-            picks.append((pair, h - math.floor(h)))
-        plan[f] = picks
-    if need:
-        wanted = spark.createDataFrame(sorted(need), "__f string, __bk int, __r long")
-        fb = F.broadcast(wanted.select("__f", "__bk").distinct())  # ≤ k × 2·probs rows
-        rows = tagged.join(fb, (tagged["__bk"] == fb["__bk"]) & ~tagged["__c"].eqNullSafe(fb["__f"]), "inner").select(
-            "__f", tagged["__bk"], "__v"
-        )
-        ranked = rows.withColumn("__r", F.row_number().over(Window.partitionBy("__f", "__bk").orderBy("__v")))
-        for r in ranked.join(F.broadcast(wanted), ["__f", "__bk", "__r"]).collect():
-            direct[(r["__f"], r["__bk"], r["__r"])] = r["__v"]
-    out = []
-    for f, picks in plan.items():
-        vals = []
-        for pk in picks:
-            if pk is None:
-                vals.append(None)
-                continue
-            (lo_b, hi_b), frac = pk
-            vlo, vhi = direct[(f, *lo_b)], direct[(f, *hi_b)]
-            vals.append(vlo + (vhi - vlo) * frac)
-        out.append((f, *vals))
-    return spark.createDataFrame(out, "fold string, " + ", ".join(f"{n} double" for n in names))
+    vt = value_table(src, [], "__x", carry=["__c"])
+    by = vt.groupBy("__c").agg(F.sum("__n").alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi"))
+    folds = spark.createDataFrame([(c,) for c in cohorts], "fold string")
+    pairs = by.withColumn("fold", F.explode(F.array(*[F.lit(c) for c in cohorts]))).where(~F.col("__c").eqNullSafe(F.col("fold")))
+    groups = pairs.groupBy("fold").agg(F.sum("n").alias("__total"), F.min("lo").alias("__lo"), F.max("hi").alias("__hi"))
+    groups = stored(groups.withColumnRenamed("fold", "__gk"), "folds")
+    q = _interpolated(groups, vt, probs, names, None, cohorts).withColumnRenamed("__gk", "fold")
+    return folds.join(q, "fold", "left").select("fold", *names)

@@ -203,12 +203,11 @@ def top_variance_features(long: DataFrame, k: int = 50, feature: str = "feature"
 
 
 # ----------------------------------------------------------- quantile bins
-def qcut_edges(long: DataFrame, q: int, keys: Sequence[str] = ("column",), value: str = "value",
-               tiebreak: str | None = None) -> DataFrame:
+def qcut_edges(long: DataFrame, q: int, keys: Sequence[str] = ("column",), value: str = "value") -> DataFrame:
     """Quantile edges 0, 1/q, …, 1 per group as an array of distinct sorted edges."""
     probs = [i / q for i in range(q + 1)]
     names = [f"__e{i}" for i in range(q + 1)]
-    e = exact_quantiles(long, list(keys), value, probs, tiebreak=tiebreak, names=names)
+    e = exact_quantiles(long, list(keys), value, probs, names=names)
     return e.select(*keys, F.array_sort(F.array_distinct(F.array(*names))).alias("edges"))
 
 
@@ -222,7 +221,7 @@ def qcut_values(df: DataFrame, id_col: str, cols: Sequence[str], q: int = 4, kee
     """O-50: q value-quantile bins per column with duplicate edges dropped (long output)."""
     ids = [id_col, *[k for k in keep if k != id_col]]
     long = melt(df, ids, cols)
-    edges = qcut_edges(long.where(F.col("value").isNotNull()), q, tiebreak=id_col)
+    edges = qcut_edges(long.where(F.col("value").isNotNull()), q)
     j = long.join(F.broadcast(edges), "column")
     return j.select(*ids, "column", qcut_label(F.col("value"), F.col("edges")).alias("bin"))
 
@@ -237,11 +236,11 @@ def mutual_information(long: DataFrame, target: str, id_col: str, bins: int = 10
     cells, from joint counts (one groupBy), ranked descending, ties by name.
     """
     data = long.where(F.col(target).isNotNull()).withColumn(value, F.coalesce(F.col(value).cast("double"), F.lit(0.0)))
-    edges = qcut_edges(data.select(feature, value, id_col), bins, keys=[feature], value=value, tiebreak=id_col)
+    edges = qcut_edges(data.select(feature, value, id_col), bins, keys=[feature], value=value)
     x = data.join(F.broadcast(edges), feature).withColumn("__x", qcut_label(F.col(value), F.col("edges")))
     if target_bins:
         ty = data.select(id_col, F.lit("__t").alias("__f"), F.col(target).cast("double").alias("__y")).distinct()
-        te = qcut_edges(ty, target_bins, keys=["__f"], value="__y", tiebreak=id_col)
+        te = qcut_edges(ty, target_bins, keys=["__f"], value="__y")
         ty = ty.join(F.broadcast(te), "__f").select(id_col, qcut_label(F.col("__y"), F.col("edges")).cast("string").alias("__y"))
         x = x.drop("edges").join(ty, id_col)
     else:

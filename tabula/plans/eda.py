@@ -24,7 +24,7 @@ def expression_matrix(long: DataFrame, sample: str, target: str, k: int = 50, bi
     top = S.top_variance_features(long.select(feature, value), k, feature=feature, value=value).select(feature)
     m = long.join(F.broadcast(top), feature, "left_semi")  # ≤ k rows broadcast
     samples = long.select(sample, F.col(target).cast("double").alias("__t")).distinct().withColumn("__g", F.lit(0))
-    edges = S.qcut_edges(samples.where(F.col("__t").isNotNull()), bins, keys=["__g"], value="__t", tiebreak=sample)
+    edges = S.qcut_edges(samples.where(F.col("__t").isNotNull()), bins, keys=["__g"], value="__t")
     ann = samples.join(F.broadcast(edges), "__g").select(
         sample, S.qcut_label(F.col("__t"), F.col("edges")).alias(f"{target}_binned")
     )

@@ -79,7 +79,7 @@ def fit_preprocess(train: DataFrame, spec: PrepSpec) -> dict:
     p["clip"] = {}
     if clip_cols:
         long = melt(t.withColumn("__rid", _q(spec.id_col)), ["__rid"], clip_cols)
-        q = exact_quantiles(long, ["column"], "value", [0.25, 0.75], tiebreak="__rid", names=["q1", "q3"]).collect()
+        q = exact_quantiles(long, ["column"], "value", [0.25, 0.75], names=["q1", "q3"]).collect()
         for r in q:
             if r["q1"] is not None:
                 iqr = r["q3"] - r["q1"]
@@ -102,7 +102,7 @@ def fit_preprocess(train: DataFrame, spec: PrepSpec) -> dict:
     p["medians"] = {}
     if num:
         long = melt(t.withColumn("__rid", _q(spec.id_col)), ["__rid"], num)
-        for r in exact_quantiles(long, ["column"], "value", [0.5], tiebreak="__rid", names=["median"]).collect():
+        for r in exact_quantiles(long, ["column"], "value", [0.5], names=["median"]).collect():
             p["medians"][r["column"]] = r["median"]
     x = impute_encode_input(t, p, spec)
     # one-hot vocabulary: sorted categories of the imputed text, all columns in one bounded job
@@ -134,7 +134,7 @@ def fit_preprocess(train: DataFrame, spec: PrepSpec) -> dict:
     feats = [c for c in numeric_columns(x) if c not in (spec.id_col, spec.cohort_col, *spec.targets)]
     p["features"] = feats
     long = melt(x.withColumn("__rid", _q(spec.id_col)), ["__rid"], feats)
-    sc = choose_scaler(long, signal_cols=sig, tiebreak="__rid").collect()
+    sc = choose_scaler(long, signal_cols=sig).collect()
     p["scalers"] = {r["column"]: r.asDict() for r in sc}
     # target classes (sorted text), for classification tasks
     p["classes"] = {}

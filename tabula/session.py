@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,11 +45,14 @@ def get_spark(cpus: int | str | None = None, app: str = "tabula") -> SparkSessio
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is read as is. Only when
-    it is unset (local tests) a scratch folder is created for this process.
+    On a cluster this setting names shared storage and is read as is. Where it is unset, a local master gets a
+    scratch folder of this process; any other master is refused, since its executors would not share one.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         path = tempfile.mkdtemp(prefix="tabula-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -60,6 +65,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
+
+    Like a checkpoint it cuts the lineage and survives lost executors; unlike one it keeps its columns prunable
+    and its size known to the planner.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tabula-{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table; projection and filters are pushed into this scan."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
