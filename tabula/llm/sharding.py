@@ -25,7 +25,7 @@ SHARDS, ROUNDS = 24, 12
 #: Share of a quota that linked documents may take while they move.
 FILL = 0.98
 #: Groups above this size are numbered by hash prefix.
-BIG_GROUP = 10_000
+BIG_GROUP = 1_000
 
 
 def _numbered(df: DataFrame, by: list[str], split: Column, out: str) -> DataFrame:

@@ -42,7 +42,7 @@ LEFT = LENGTH - GRAM
 SEGMENT = 1 << 21
 HOT_GROUP = 100_000
 #: Rows of small lists (positions or spans) that are broadcast; longer lists are joined by shuffle.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 1_000_000
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 LOW = np.uint64((1 << 24) - 1)
 
