@@ -108,25 +108,14 @@ def q_coerce_numeric(spark, sf):
 @query(
     "unwrap_singleton",
     "O-67",
-    """SELECT vec_id, CAST(len(a) AS BIGINT) AS n,
-  CASE WHEN len(a) = 1 THEN CAST(a[1] AS DOUBLE) END AS value,
-  CASE WHEN len(a) > 1 THEN CAST(a[1] AS DOUBLE) END AS rest_0,
-  CASE WHEN len(a) > 1 THEN CAST(a[2] AS DOUBLE) END AS rest_1
-FROM (SELECT vec_id, embedding[1:(label % 3)] AS a FROM embeddings)""",
+    """SELECT vec_id, CASE len(a) WHEN 0 THEN NULL WHEN 1 THEN CAST(a[1] AS VARCHAR)
+  ELSE '[' || array_to_string(a, ',') || ']' END AS value
+FROM (SELECT vec_id, ([vec_id, label, vec_id + label])[1:(label % 4)] AS a FROM embeddings)""",
 )
 def q_unwrap_singleton(spark, sf):
-    e = load(spark, sf, "embeddings").select(
-        "vec_id", F.slice("embedding", F.lit(1), F.col("label") % 3).alias("a")
-    )
-    a = F.transform("a", lambda x: x.cast("double"))
-    out = e.select(
-        "vec_id",
-        F.size("a").cast("long").alias("n"),
-        F.when(F.size("a") == 1, F.element_at(a, 1)).alias("value"),
-        F.when(F.size("a") > 1, a).alias("rest"),  # longer arrays are kept as they are
-    )
-    # scalar view of the kept arrays (at most two elements here) for a type-stable comparison
-    return out.select("vec_id", "n", "value", F.col("rest")[0].alias("rest_0"), F.col("rest")[1].alias("rest_1"))
+    e = load(spark, sf, "embeddings").select("vec_id", F.col("label").cast("long").alias("label"))
+    a = F.slice(F.array("vec_id", "label", F.col("vec_id") + F.col("label")), F.lit(1), (F.col("label") % 4).cast("int"))
+    return e.select("vec_id", N.unwrap_singleton(a).alias("value"))
 
 
 @query(

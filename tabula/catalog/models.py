@@ -219,7 +219,11 @@ def q_eda(spark, sf):
                                      F.col("variance").alias("value"))
     bi = rep["bias"].select(F.lit("bias_chi2").alias("analysis"), F.col("bias_column").alias("item"),
                             F.col("statistic").alias("value"))
-    return mi.unionByName(tv).unionByName(bi)
+    co = rep["correlation"].where("col_a < col_b").select(
+        F.lit("correlation").alias("analysis"), F.concat_ws(":", "col_a", "col_b").alias("item"), F.col("corr").alias("value"))
+    pc = rep["pca"].agg(F.var_samp("pc1").alias("pc1"), F.var_samp("pc2").alias("pc2")).unpivot([], ["pc1", "pc2"], "item", "value")
+    pc = pc.select(F.lit("pca_variance").alias("analysis"), "item", "value")
+    return mi.unionByName(tv).unionByName(bi).unionByName(co).unionByName(pc)
 
 
 @query("stream_batch_score", "O-102")

@@ -210,19 +210,19 @@ SELECT {s6('sum(power(abs(n - e) - CASE WHEN dof = 1 THEN least(0.5, abs(n - e))
 
 @query("chi2_test", "O-37", _chi2_sql("orders", "o_orderstatus", "o_orderpriority"))
 def q_chi2_test(spark, sf):
-    ct = S.crosstab_long(load(spark, sf, "orders"), "o_orderstatus", "o_orderpriority")
+    ct = S.crosstab_counts(load(spark, sf, "orders"), "o_orderstatus", "o_orderpriority")
     return rounded(S.chi2_statistic(ct, "o_orderstatus", "o_orderpriority"), ["statistic"])
 
 
 @query("chi2_test_yates", "O-37", _chi2_sql("labels", "quality", "toxic"))
 def q_chi2_test_yates(spark, sf):
-    ct = S.crosstab_long(load(spark, sf, "labels"), "quality", "toxic")
+    ct = S.crosstab_counts(load(spark, sf, "labels"), "quality", "toxic")
     return rounded(S.chi2_statistic(ct, "quality", "toxic"), ["statistic"])
 
 
 @query("chi2_pvalue", "O-37")
 def q_chi2_pvalue(spark, sf):
-    ct = S.crosstab_long(load(spark, sf, "labels"), "quality", "toxic")
+    ct = S.crosstab_counts(load(spark, sf, "labels"), "quality", "toxic")
     return S.chi2_test(ct, "quality", "toxic")
 
 

@@ -135,11 +135,11 @@ def q_align_features_strict(spark, sf):
     "set_membership",
     "O-18",
     """SELECT p_partkey, p_brand FROM part
-WHERE p_brand IN (SELECT p_brand FROM part WHERE p_retailprice > 1090)""",
+WHERE p_brand IN (SELECT p_brand FROM part WHERE p_retailprice < 902)""",
 )
 def q_set_membership(spark, sf):
     part = load(spark, sf, "part")
-    expensive = part.where(F.col("p_retailprice") > 1090).select("p_brand")
+    expensive = part.where(F.col("p_retailprice") < 902).select("p_brand")
     return R.set_membership(part.select("p_partkey", "p_brand"), "p_brand", expensive)
 
 
@@ -207,12 +207,12 @@ def q_top_k(spark, sf):
 @query(
     "set_difference",
     "O-59",
-    "SELECT c_nationkey AS nationkey FROM customer EXCEPT SELECT s_nationkey FROM supplier",
+    "SELECT c_custkey AS custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 400000",
 )
 def q_set_difference(spark, sf):
-    c = load(spark, sf, "customer").select(F.col("c_nationkey").alias("nationkey"))
-    s = load(spark, sf, "supplier").select(F.col("s_nationkey").alias("nationkey"))
-    return R.set_difference(c, s)
+    c = load(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"))
+    o = load(spark, sf, "orders").where(F.col("o_totalprice") > 400000).select(F.col("o_custkey").alias("custkey"))
+    return R.set_difference(c, o)
 
 
 @query(

@@ -255,9 +255,17 @@ def q_csv_scan(spark, sf):
     return IO.csv_scan(spark, path, schema=nation.schema)
 
 
-@query("csv_sink", "O-02", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
+@query(
+    "csv_sink",
+    "O-02",
+    """SELECT o_orderkey, o_custkey, nullif(o_orderstatus, 'F') AS o_orderstatus, o_totalprice, o_orderdate,
+  CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS o_orderpriority FROM orders""",
+)
 def q_csv_sink(spark, sf):
-    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    o = load(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", F.expr("nullif(o_orderstatus, 'F')").alias("o_orderstatus"), "o_totalprice",
+        "o_orderdate", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderpriority")).alias("o_orderpriority"),
+    )
     path = IO.csv_sink(o, IO.scratch_path(spark, "orders-csv"))
     return IO.csv_scan(spark, path, schema=o.schema)
 

@@ -147,7 +147,7 @@ def _one_col(spark, sf, c):
 
 
 def _apply_fixed(long, decision):
-    st = SC.choose_scaler(long).withColumn("decision", F.lit(decision))
+    st = SC.fit_transform(long, decision)
     return SC.apply_params_long(long, st).select("l_orderkey", "l_linenumber", r6("value").alias("value"))
 
 

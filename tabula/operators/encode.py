@@ -28,21 +28,26 @@ def one(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------- coercion
-def coerce_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def fit_coercion(df: DataFrame, cols: Sequence[str]) -> dict[str, bool]:
+    """O-66 fit: per column whether any row is a well-formed number (one aggregation, one boolean per column)."""
+    if not cols:
+        return {}
+    row = df.agg(*[F.max(parse_strict(c).isNotNull()).alias(c) for c in cols]).first()
+    return {c: bool(row[c]) for c in cols}
+
+
+def coerce_numeric(df: DataFrame, cols: Sequence[str], strict: dict[str, bool] | None = None) -> DataFrame:
     """O-66: parse mixed numeric text; NULL → 0.0.
 
-    Main path: strip ``[ ] ' "`` and parse well-formed numbers only. The
-    column-level switch (no row parses → first-number regex for every row) needs
-    one boolean per column: one aggregation job returns them to the driver.
+    Columns with a well-formed number anywhere strip ``[ ] ' "`` and parse well-formed numbers only; the others take
+    the first number in the text. ``strict`` is the fitted switch, so a batch is parsed as the fit was, however the
+    rows are cut into batches; without it the switch is fitted on ``df`` itself.
     """
     if not cols:
         return df
-    flags = df.agg(*[F.max(parse_strict(c).isNotNull()).alias(c) for c in cols]).first().asDict()
-    out = df
-    for c in cols:
-        parsed = parse_strict(c) if flags.get(c) else parse_first_number(c)
-        out = out.withColumn(c, F.coalesce(parsed, F.lit(0.0)))
-    return out
+    strict = fit_coercion(df, cols) if strict is None else strict
+    parsed = {c: F.coalesce(parse_strict(c) if strict.get(c) else parse_first_number(c), F.lit(0.0)) for c in cols}
+    return df.select(*[parsed[c].alias(c) if c in parsed else F.col(f"`{c}`") for c in df.columns])
 
 
 # -------------------------------------------------------------------- codes
@@ -165,7 +170,7 @@ def group_rare(df: DataFrame, c: str, rare: DataFrame, out: str | None = None) -
     """O-70 apply: ``<c>_grouped`` = 'rare' for fitted rare values, else the value; original kept."""
     out = out or f"{c}_grouped"
     r = rare.select("__rare").distinct().withColumn("__is_rare", F.lit(True))
-    j = df.join(r, df[c] == r["__rare"], "left")
+    j = df.join(r, df[c].eqNullSafe(r["__rare"]), "left")  # a rare NULL is grouped as well
     return j.withColumn(
         out, F.when(F.col("__is_rare"), F.lit(RARE)).otherwise(F.col(c).cast("string"))
     ).drop("__rare", "__is_rare")

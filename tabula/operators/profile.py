@@ -37,15 +37,13 @@ def duplicate_count(df: DataFrame, id_col: str) -> DataFrame:
 
 
 def dedupe_first(df: DataFrame, id_col: str, seq_col: str) -> DataFrame:
-    """O-27: first row per id in ``seq`` order.
+    """O-27: first row per id in ``seq`` order; ``seq`` is unique within an id.
 
-    ``min`` of a struct led by ``seq`` is a mergeable aggregate: each task keeps one
-    row per id before the shuffle, so an id holding a third of the rows costs one
-    row of shuffle per task, not a third of the table in one task.
+    The least ``seq`` per id is a hash aggregation (one row per id and task before the shuffle), and a semi-join on
+    (id, seq) then picks the rows, whatever types the other columns have.
     """
-    others = [c for c in df.columns if c not in (id_col, seq_col)]
-    first = df.groupBy(id_col).agg(F.min(F.struct(seq_col, *others)).alias("__r"))
-    return first.select(id_col, *[F.col(f"__r.{c}").alias(c) for c in [seq_col, *others]]).select(*df.columns)
+    least = df.groupBy(F.col(id_col).alias("__id")).agg(F.min(seq_col).alias("__seq"))
+    return df.join(least, df[id_col].eqNullSafe(least["__id"]) & df[seq_col].eqNullSafe(least["__seq"]), "left_semi")
 
 
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -97,24 +95,20 @@ def cardinality_profile(df: DataFrame, cols: Sequence[str], high: int = 20, appr
 def boolean_candidates(df: DataFrame, cols: Sequence[str], tokens: Sequence[str] = QC_POSITIVE_TOKENS) -> DataFrame:
     """O-31: text columns with exactly two distinct normalised values, one of them a positive token.
 
-    The distinct set is computed per column with a partial aggregation that
-    stops growing at three values (only "is it exactly 2" matters).
+    Least and greatest value and "is any value neither of them" decide exactly two; all are mergeable, so a column of
+    many distinct values costs no more than one of two. ``cardinality`` is 0, 1, 2 or 3 (more than two).
     """
-    long = melt(df, [], cols, dtype="string").withColumn("value", normalize_text("value")).where(
-        F.col("value").isNotNull()
-    )
-    d = long.select("column", "value").distinct()
-    per = d.groupBy("column").agg(
-        F.count(F.lit(1)).cast("long").alias("cardinality"),
-        F.max(F.col("value").isin(list(tokens)).cast("int")).alias("__pos"),
-    )
-    allc = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
-    card = F.coalesce(F.col("cardinality"), F.lit(0)).cast("long")
-    return allc.join(per, "column", "left").select(
-        "column",
-        card.alias("cardinality"),
-        ((card == 2) & (F.coalesce(F.col("__pos"), F.lit(0)) == 1)).alias("is_boolean_candidate"),
+    long = melt(df, [], cols, dtype="string").withColumn("value", normalize_text("value"))
+    ends = long.groupBy("column").agg(F.min("value").alias("__lo"), F.max("value").alias("__hi"))
+    between = (F.col("value") != F.col("__lo")) & (F.col("value") != F.col("__hi"))
+    per = long.join(F.broadcast(ends), "column").groupBy("column").agg(  # one row a column is broadcast
+        F.first("__lo").alias("__lo"), F.first("__hi").alias("__hi"), F.coalesce(F.max(between), F.lit(False)).alias("__more")
     )
+    card = (
+        F.when(F.col("__lo").isNull(), 0).when(F.col("__lo") == F.col("__hi"), 1).when(F.col("__more"), 3).otherwise(2)
+    ).cast("long")
+    positive = F.coalesce(F.col("__lo").isin(list(tokens)) | F.col("__hi").isin(list(tokens)), F.lit(False))
+    return per.select("column", card.alias("cardinality"), ((card == 2) & positive).alias("is_boolean_candidate"))
 
 
 def true_false_candidates(df: DataFrame, cols: Sequence[str]) -> DataFrame:

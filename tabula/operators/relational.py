@@ -40,14 +40,18 @@ def project_by_type(df: DataFrame, kind: str = "numeric") -> DataFrame:
 
 
 def resolve_by_prefix(columns: Sequence[str], wanted: Sequence[str]) -> list[str]:
-    """O-10 resolution: a wanted name itself if present, else every ``name_*`` column; ordered dedupe."""
-    out: list[str] = []
-    for w in wanted:
-        if w in columns:
-            out.append(w)
-        else:
-            out.extend(c for c in columns if c.startswith(f"{w}_"))
-    return list(dict.fromkeys(out))
+    """O-10 resolution: a wanted name stands for itself if it is a column, else for all columns ``name_...``.
+
+    Every column is looked up once under itself and under each of its prefixes that end before an underscore.
+    """
+    under: dict[str, list[str]] = {}
+    for c in columns:
+        for i, ch in enumerate(c):
+            if ch == "_":
+                under.setdefault(c[:i], []).append(c)
+    exact = set(columns)
+    hits = ([w] if w in exact else under.get(w, []) for w in wanted)
+    return list({c: None for group in hits for c in group})
 
 
 def project_by_prefix(df: DataFrame, wanted: Sequence[str]) -> DataFrame:

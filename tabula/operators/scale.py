@@ -130,6 +130,22 @@ def transform_expr(x: Column, decision: Column, p: dict[str, Column]) -> Column:
     )
 
 
+def fit_transform(long: DataFrame, decision: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Parameters of one fixed transform per (keys, column): only what it needs is computed, the rest is NULL."""
+    by = [*keys, "column"]
+    if decision == ROBUST:
+        st = exact_quantiles(long, by, "value", [0.25, 0.5, 0.75], names=["q1", "median", "q3"])
+        st = st.withColumn("iqr", F.col("q3") - F.col("q1"))
+    else:
+        v = F.when(~F.isnan("value"), F.col("value"))
+        agg = {MINMAX: [F.min(v).alias("min"), F.max(v).alias("max")],
+               STANDARD: [F.avg(v).alias("mean"), F.stddev_samp(v).alias("std")]}.get(decision)
+        st = long.groupBy(*by).agg(*agg) if agg else long.select(*by).distinct()
+    cols = ["min", "max", "mean", "std", "median", "iqr"]
+    return st.select(*by, F.lit(decision).alias("decision"),
+                     *[F.col(c) if c in st.columns else F.lit(None).cast("double").alias(c) for c in cols])
+
+
 def apply_params_long(long: DataFrame, params: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """O-22: apply fitted per-column transforms in long layout (broadcast params join)."""
     cols = ["decision", "min", "max", "mean", "std", "median", "iqr"]

@@ -23,44 +23,56 @@ def _one(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- crosstab/χ²
+def crosstab_counts(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Non-zero cells (a, b, n); rows with a NULL in either are dropped."""
+    pairs = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    return pairs.groupBy(a, b).agg(F.count(F.lit(1)).cast("long").alias("n"))
+
+
+#: The dense crosstab has a row per cell; more levels on its short side than this are refused (use the counts).
+MAX_LEVELS = 10_000
+
+
 def crosstab_long(df: DataFrame, a: str, b: str) -> DataFrame:
-    """O-36: counts per (a, b) including zero cells; rows with a NULL in either are dropped.
+    """O-36: counts per (a, b) including zero cells, long (a, b, n).
 
-    Long form (a, b, n). The zero-filled grid is the product of the two distinct
-    level lists, which are small by construction (levels of categorical columns).
+    Each level of ``a`` is exploded over the list of levels of ``b``, which is checked to be short.
     """
-    pairs = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    counts = pairs.groupBy(a, b).agg(F.count(F.lit(1)).cast("long").alias("n"))
-    la = counts.select(a).distinct()
-    lb = counts.select(b).distinct()
-    grid = _one(la).join(_one(lb), "__one").drop("__one")
+    counts = crosstab_counts(df, a, b)
+    levels = [r[0] for r in counts.select(b).distinct().limit(MAX_LEVELS + 1).collect()]
+    if len(levels) > MAX_LEVELS:
+        raise ValueError(f"{b} has more than {MAX_LEVELS} levels for a dense crosstab")
+    kind = counts.schema[b].dataType
+    listed = F.array(*[F.lit(x).cast(kind) for x in levels]) if levels else F.array().cast(f"array<{kind.simpleString()}>")
+    grid = counts.select(a).distinct().withColumn(b, F.explode(listed))
     return grid.join(counts, [a, b], "left").withColumn("n", F.coalesce(F.col("n"), F.lit(0)).cast("long"))
 
 
 def chi2_statistic(ct: DataFrame, a: str, b: str, keys: Sequence[str] = ()) -> DataFrame:
-    """O-37: χ² independence statistic and dof from a zero-filled long crosstab.
+    """O-37: χ² independence statistic and dof from the cells of a crosstab (zero cells may be left out).
 
-    E = row·col/total; Yates correction when dof = 1 (scipy's default).
+    E = row·col/total. A zero cell contributes its expectation, and all expectations sum to the total, so zero cells
+    add the total less the expectations of the others. With dof = 1 (a 2×2 table) Yates' correction applies: there
+    |n − E| is the same in all four cells, and 1/E sums to total · Σ1/row · Σ1/col.
     ``keys`` lets many tables (e.g. per target × bias column) run in one job.
     """
-    keys = list(keys)
+    keys = list(keys) or ["__one"]
+    ct = (ct if "__one" not in keys else _one(ct)).where("n > 0")
     rows = ct.groupBy(*keys, a).agg(F.sum("n").alias("__r"))
     cols = ct.groupBy(*keys, b).agg(F.sum("n").alias("__c"))
-    tot = ct.groupBy(*keys).agg(
-        F.sum("n").alias("__t"),
-        F.countDistinct(a).alias("__na"),
-        F.countDistinct(b).alias("__nb"),
-    )
-    on_tot = keys or ["__one"]
-    ctx = ct if keys else _one(ct)
-    totx = tot if keys else _one(tot)
-    j = ctx.join(rows, [*keys, a]).join(cols, [*keys, b]).join(totx, on_tot)
+    sides = rows.groupBy(*keys).agg(F.sum("__r").alias("__t"), F.count(F.lit(1)).alias("__na"), F.sum(1 / F.col("__r")).alias("__ir"))
+    sides = sides.join(cols.groupBy(*keys).agg(F.count(F.lit(1)).alias("__nb"), F.sum(1 / F.col("__c")).alias("__ic")), keys)
+    j = ct.join(rows, [*keys, a]).join(cols, [*keys, b]).join(sides, keys)
     e = F.col("__r") * F.col("__c") / F.col("__t")
-    dof = (F.col("__na") - 1) * (F.col("__nb") - 1)
-    diff = F.abs(F.col("n") - e)
-    corr = F.when(dof == 1, F.least(F.lit(0.5), diff)).otherwise(F.lit(0.0))
-    j = j.withColumn("__term", F.pow(diff - corr, 2) / e).withColumn("__dof", dof)
-    return j.groupBy(*keys).agg(F.sum("__term").alias("statistic"), F.first("__dof").cast("long").alias("dof"))
+    j = j.withColumn("__e", e).withColumn("__d", F.abs(F.col("n") - e))
+    out = j.groupBy(*keys).agg(
+        F.sum(F.pow("__d", F.lit(2)) / F.col("__e")).alias("__x"), F.sum("__e").alias("__es"), F.max("__d").alias("__dm"),
+        *[F.first(c).alias(c) for c in ("__t", "__na", "__nb", "__ir", "__ic")],
+    )
+    dof = ((F.col("__na") - 1) * (F.col("__nb") - 1)).cast("long")
+    yates = F.pow(F.col("__dm") - F.least(F.lit(0.5), F.col("__dm")), F.lit(2)) * F.col("__t") * F.col("__ir") * F.col("__ic")
+    plain = F.col("__x") + F.greatest(F.col("__t") - F.col("__es"), F.lit(0.0))
+    return out.select(*keys, F.when(dof == 1, yates).otherwise(plain).alias("statistic"), dof.alias("dof")).drop("__one")
 
 
 def _gamma_q(a: float, x: float) -> float:

@@ -85,20 +85,30 @@ def covariance_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def eda_report(df: DataFrame, id_col: str, target: str, bias_cols: Sequence[str] = (), top_n: int = 20,
-               max_features: int = 50) -> dict[str, DataFrame]:
+               max_features: int = 50, target_bins: int = 10) -> dict[str, DataFrame]:
     """O-106: correlation, top-variance features, mutual information, bias and PCA for one use case.
 
     Each entry is its own lazy DataFrame; only small results reach the driver
     when they are shown or written.
     """
+    numeric = target in numeric_feature_frame(df.select(target)).columns
     nums = [c for c in numeric_feature_frame(df).columns if c not in (id_col, target)]
     long = melt(df, [id_col, target], nums, var="feature")
     out = {
         "correlation": S.correlation_long(df, [*nums, target] if target in numeric_feature_frame(df).columns else nums),
         "top_variance": S.top_variance_features(long.select("feature", "value"), max_features),
-        "mutual_information": S.mutual_information(long, target, id_col).where(F.col("rank") <= top_n),
+        # a numeric target is cut into quantile bins; as it is, every value would be a class of its own
+        "mutual_information": S.mutual_information(long, target, id_col, target_bins=target_bins if numeric else None).where(
+            F.col("rank") <= top_n
+        ),
         "pca": pca_2d(df, id_col, nums),
     }
     if bias_cols:
-        out["bias"] = bias_profile(df, [target], list(bias_cols))
+        tested = df
+        if numeric:
+            cut = S.qcut_values(df, id_col, [target], target_bins).select(
+                F.col(id_col).alias("__id"), F.col("bin").cast("string").alias("__bin")
+            )
+            tested = df.join(cut, df[id_col] == cut["__id"]).drop(target, "__id").withColumnRenamed("__bin", target)
+        out["bias"] = bias_profile(tested, [target], list(bias_cols))
     return out

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from ..functions.numeric import threshold_small
 from ..functions.text import CAST_POSITIVE_TOKENS, RARE, UNKNOWN, token_boolean, true_false_cast
-from ..operators.encode import MAX_CATEGORIES, coerce_numeric, fit_rare
+from ..operators.encode import MAX_CATEGORIES, coerce_numeric, fit_coercion, fit_rare
 from ..operators.profile import dedupe_first, melt, true_false_candidates
 from ..operators.rank import exact_quantiles
 from ..operators.relational import categorical_columns, numeric_columns
@@ -49,29 +49,31 @@ def _q(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
-def clean_rows(df: DataFrame, spec: PrepSpec, tf_cols: Sequence[str]) -> DataFrame:
-    """Steps that need no fitted value: dedupe, boolean casts, true/false casts, signal coercion."""
-    out = df
-    if spec.has_duplicates:
-        out = dedupe_first(out, spec.id_col, spec.seq_col or spec.id_col)
-    for c in spec.boolean_cast_columns:
-        if c in out.columns:
-            out = out.withColumn(c, token_boolean(_q(c), CAST_POSITIVE_TOKENS))
-    for c in tf_cols:
-        if c in out.columns:
-            out = out.withColumn(c, true_false_cast(_q(c)))
-    sig = [c for c in spec.signal_cols if c in out.columns]
-    if sig:
-        out = coerce_numeric(out, sig)
-    return out
+def clean_rows(df: DataFrame, spec: PrepSpec, tf_cols: Sequence[str], strict: dict[str, bool] | None = None) -> DataFrame:
+    """Boolean casts, true/false casts and signal coercion, in one projection before and one within the coercion."""
+    casts = {c: token_boolean(_q(c), CAST_POSITIVE_TOKENS) for c in spec.boolean_cast_columns}
+    casts |= {c: true_false_cast(casts.get(c, _q(c))) for c in tf_cols}
+    out = df.select(*[casts[c].alias(c) if c in casts else _q(c) for c in df.columns]) if casts else df
+    return coerce_numeric(out, [c for c in spec.signal_cols if c in out.columns], strict)
+
+
+def dedupe(df: DataFrame, spec: PrepSpec) -> DataFrame:
+    """First row per id for fitting and evaluation; scoring keeps every row of its batch."""
+    if not spec.has_duplicates:
+        return df
+    if not spec.seq_col:
+        raise ValueError("has_duplicates needs seq_col, the column that orders an id's rows")
+    return dedupe_first(df, spec.id_col, spec.seq_col)
 
 
 def fit_preprocess(train: DataFrame, spec: PrepSpec) -> dict:
     """Fit every step on the training rows; returns a small dict of literals (and one rare table per column)."""
     text_cols = [c for c in categorical_columns(train) if c not in (spec.id_col, spec.cohort_col, *spec.targets)]
     tf = [r["column"] for r in true_false_candidates(train, text_cols).where("is_true_false").collect()] if text_cols else []
-    t = clean_rows(train, spec, tf)
-    p: dict = {"true_false_columns": tf}
+    train = dedupe(train, spec)
+    strict = fit_coercion(train, [c for c in spec.signal_cols if c in train.columns])
+    t = clean_rows(train, spec, tf, strict)
+    p: dict = {"true_false_columns": tf, "strict_numbers": strict}
 
     # IQR clip bounds (train quantiles), one long-layout job for all outlier columns
     num_now = set(numeric_columns(t))
@@ -91,6 +93,8 @@ def fit_preprocess(train: DataFrame, spec: PrepSpec) -> dict:
     for c in spec.high_cardinality_columns:
         if c in t.columns:
             vals = [r[0] for r in fit_rare(t, c, spec.rare_multiplier).limit(MAX_CATEGORIES + 1).collect()]
+            if len(vals) > MAX_CATEGORIES:
+                raise ValueError(f"{c}: more than {MAX_CATEGORIES} rare values")
             p["rare"][c] = vals
     t = apply_rare(t, p)
 
@@ -160,8 +164,9 @@ def apply_rare(df: DataFrame, p: dict) -> DataFrame:
     for c, vals in p["rare"].items():
         if c in out.columns:
             name = f"{c}_grouped"
-            out = out.withColumn(name, F.when(_q(c).isin(vals), F.lit(RARE)).otherwise(_q(c).cast("string")) if vals
-                                 else _q(c).cast("string"))
+            rare = _q(c).isin([v for v in vals if v is not None])
+            rare = F.coalesce(rare, F.lit(None in vals))  # a rare NULL is grouped as well
+            out = out.withColumn(name, F.when(rare, F.lit(RARE)).otherwise(_q(c).cast("string")))
     return out
 
 
@@ -228,7 +233,7 @@ def encode_targets(df: DataFrame, p: dict, spec: PrepSpec) -> DataFrame:
 
 def apply_preprocess(df: DataFrame, p: dict, spec: PrepSpec, is_train: bool) -> DataFrame:
     """Apply the fitted steps; returns id, cohort, the scaled features and encoded targets."""
-    t = clean_rows(df, spec, p["true_false_columns"])
+    t = clean_rows(dedupe(df, spec) if is_train else df, spec, p["true_false_columns"], p["strict_numbers"])
     t = apply_clip_threshold(t, p, spec)
     t = apply_rare(t, p)
     t = impute_encode_input(t, p, spec)

@@ -72,7 +72,7 @@ def test_zero_iqr_clip_makes_constant(spark):
 
     df = spark.createDataFrame([(i, 1.0 if i < 2 else 0.0) for i in range(10)], "id long, v double")
     long = melt(df, ["id"], ["v"])
-    out = iqr_clip_long(long, fit_iqr_bounds(long, tiebreak="id"))
+    out = iqr_clip_long(long, fit_iqr_bounds(long))
     assert {r.value for r in out.collect()} == {0.0}  # minority ones replaced by Q3 = 0
 
 
@@ -161,7 +161,7 @@ def test_scaler_rule_order(spark):
         rows.append((i, 5.0, None, 0.0 if i % 3 else float(i), i / n, rnd.gauss(0, 1), math.exp(rnd.gauss(0, 2))))
     df = spark.createDataFrame(rows, "id long, const double, empty double, zeros double, unit double, normal double, heavy double")
     long = melt(df, ["id"], ["const", "empty", "zeros", "unit", "normal", "heavy"])
-    got = {r.column: r.decision for r in choose_scaler(long, tiebreak="id").collect()}
+    got = {r.column: r.decision for r in choose_scaler(long).collect()}
     assert got["const"] == "NoScaling" and got["empty"] == "NoScaling"
     assert got["zeros"] == "Log1pTransform" and got["unit"] == "MinMaxScaler"
     assert got["normal"] == "StandardScaler" and got["heavy"] == "RobustScaler"
@@ -231,7 +231,7 @@ def test_exact_quantiles_match_pandas(spark):
 
     vals = [3.0, 1.0, 4.0, 1.0, 5.0, 9.0, 2.0, 6.0, None, 5.0]
     df = spark.createDataFrame([(i, "g", v) for i, v in enumerate(vals)], "id long, g string, v double")
-    r = exact_quantiles(df, ["g"], "v", [0.25, 0.5, 0.75], tiebreak="id", names=["a", "b", "c"]).first()
+    r = exact_quantiles(df, ["g"], "v", [0.25, 0.5, 0.75], names=["a", "b", "c"]).first()
     s = pd.Series([v for v in vals if v is not None])
     assert (r.a, r.b, r.c) == pytest.approx((s.quantile(0.25), s.quantile(0.5), s.quantile(0.75)))
 
