@@ -12,7 +12,7 @@ from ..operators.split import stratified_folds
 from ..plans.eda import eda_report, pca_2d
 from ..plans.experiment import loco_experiment, entity_table
 from ..plans.preprocess import PrepSpec, apply_preprocess, fit_preprocess
-from ..session import load
+from ..session import load, stored
 from ..sources import files as IO
 from .registry import query
 
@@ -57,12 +57,12 @@ def q_preprocess(spark, sf):
 
 @query("loco_experiment_regression", "O-90")
 def q_loco_regression(spark, sf):
-    return loco_experiment(entities(spark, sf), spec_for("regression"), grid_scale="small", max_splits=3)
+    return loco_experiment(entities(spark, sf), spec_for("regression"), grid_scale="small", max_splits=5)
 
 
 @query("loco_experiment_multilabel", "O-90")
 def q_loco_multilabel(spark, sf):
-    return loco_experiment(entities(spark, sf), spec_for("multilabel_classification"), grid_scale="small", max_splits=3)
+    return loco_experiment(entities(spark, sf), spec_for("multilabel_classification"), grid_scale="small", max_splits=5)
 
 
 def _prepared(spark, sf, task):
@@ -77,7 +77,7 @@ def q_grid_search(spark, sf):
     x, p, spec = _prepared(spark, sf, "regression")
     from ..plans.experiment import stratum_column
 
-    folded = stratified_folds(stratum_column(x, spec), "__stratum", "id", max_splits=3)
+    folded = stratified_folds(stratum_column(x, spec), "__stratum", "id", max_splits=5)
     cand = ML.Candidate("random_forest", ML.RandomForestRegressor(labelCol="mean_price", seed=ML.SEED),
                         {"numTrees": [10, 20], "maxDepth": [3, 5]})
     score, model = ML.grid_search(folded, p["features"], cand, "regression", "fold", "mean_price")
@@ -89,7 +89,7 @@ def q_select_model(spark, sf):
     x, p, spec = _prepared(spark, sf, "regression")
     from ..plans.experiment import stratum_column
 
-    folded = stratified_folds(stratum_column(x, spec), "__stratum", "id", max_splits=3)
+    folded = stratified_folds(stratum_column(x, spec), "__stratum", "id", max_splits=5)
     res = []
     for cand in ML.regression_candidates("mean_price", "small"):
         s, m = ML.grid_search(folded, p["features"], cand, "regression", "fold", "mean_price")
@@ -157,18 +157,45 @@ def q_model_save_load(spark, sf):
     return IO.model_load(path).transform(x).select("id", "mean_price", "prediction")
 
 
-@query("batch_score", "O-102")
-def q_batch_score(spark, sf):
-    from ..plans.scoring import batch_score
+def _stored_runs(spark, sf, targets: list[str]):
+    """Two runs of one experiment (fitted without EUROPE) in a run log; returns its folder and the spec."""
+    from ..plans.scoring import save_run
 
-    df = entities(spark, sf)
+    df, root = entities(spark, sf), IO.scratch_path(spark, "runs")
     spec = spec_for("regression")
+    spec.targets = targets
     train = df.where(F.col("cohort") != "EUROPE")
     params = fit_preprocess(train, spec)
-    x = apply_preprocess(train, params, spec, is_train=True)
-    model = ML.selection_pipeline(params["features"], ML.LinearRegression(labelCol="mean_price", solver="normal")).fit(x)
-    new = df.where(F.col("cohort") == "EUROPE").drop("mean_price")
-    return batch_score(new, params, spec, model, "survival")
+    x = stored(apply_preprocess(train, params, spec, is_train=True), "train")
+    for k, reg in enumerate((0.0, 10.0)):
+        fits = [
+            ML.selection_pipeline(params["features"], ML.LinearRegression(labelCol=t, solver="normal", regParam=reg)).fit(x)
+            for t in targets
+        ]
+        r2 = sum(m.stages[-1].summary.r2 for m in fits) / len(fits)
+        run = {"run_id": f"run{k}", "experiment_id": "outcome", "start_time": 1_000 + k, "metrics": {"r2": r2}}
+        save_run(spark, root, run, params, fits)
+    return root, spec, df
+
+
+@query("batch_score", "O-102")
+def q_batch_score(spark, sf):
+    """The best stored run scores every row of every cohort."""
+    from ..plans.scoring import batch_score_targets, load_best_run
+
+    root, spec, df = _stored_runs(spark, sf, ["mean_price"])
+    params, models = load_best_run(spark, root, "outcome", ["r2"])
+    return batch_score_targets(df.drop("mean_price"), params, spec, models, "outcome")
+
+
+@query("batch_score_targets", "O-102")
+def q_batch_score_targets(spark, sf):
+    """As ``batch_score`` for two targets: one prediction column each."""
+    from ..plans.scoring import batch_score_targets, load_best_run
+
+    root, spec, df = _stored_runs(spark, sf, ["mean_price", "n_orders"])
+    params, models = load_best_run(spark, root, "outcome", ["r2"])
+    return batch_score_targets(df, params, spec, models, "outcome")
 
 
 @query(
@@ -243,7 +270,7 @@ def q_stream_batch_score(spark, sf):
     )
     live = entity_table(stream, load(spark, sf, "nation"), load(spark, sf, "region"), load(spark, sf, "orders"))
     out = IO.scratch_path(spark, "scores")
-    q = score_stream(live.drop("mean_price"), params, spec, model, "survival", out, IO.scratch_path(spark, "stream-ckpt"))
+    q = score_stream(live.drop("mean_price"), params, spec, model, "outcome", out, IO.scratch_path(spark, "stream-ckpt"))
     q.awaitTermination()
     return read_scores(spark, out).drop("epoch")
 

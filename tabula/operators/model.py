@@ -1,14 +1,14 @@
 """Model selection on Spark ML (O-88, O-91..O-98).
 
 Every candidate is a ``Pipeline(VectorAssembler → VarianceThresholdSelector →
-estimator)``; tuning is ``CrossValidator`` with an explicit ``foldCol`` (the
-stratified folds of O-53), so fold assignment is reproducible and fits are
-distributed by Spark ML.
+estimator)``; tuning runs over the stratified folds of O-53, so fold assignment
+is reproducible, and every fit is distributed by Spark ML.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -16,9 +16,10 @@ from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VarianceThresholdSelector, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 SEED = 42
 # The reference's search grids. Depth "None" becomes Spark's maximum (30).
@@ -83,7 +84,7 @@ def classification_candidates(label: str = "label", grid_scale: str = "full", bi
     if binary:  # Spark's GBTClassifier is binary; multiclass targets use one binary model per class (O-98)
         gbt = GBTClassifier(labelCol=label, featuresCol="features", seed=SEED)
         g = GBT_GRID if grid_scale == "full" else {"maxIter": [10], "maxDepth": [3]}
-        out.append(Candidate("xgboost", gbt, g))
+        out.append(Candidate("boosted_trees", gbt, g))
     return out
 
 
@@ -97,16 +98,30 @@ def grid_search(df: DataFrame, cols: Sequence[str], cand: Candidate, task: str,
                 label: str = "label", parallelism: int = 4):
     """O-91: CV over the candidate's grid on the given folds; best refit on all rows.
 
+    Class weights are fitted on each fold's training rows, so validation rows have no part in them. A grid point
+    whose score is not a number on some fold counts as the worst. Folds and grid points run concurrently.
     Returns (mean CV score of the best grid point, fitted best PipelineModel).
     """
     pipe = selection_pipeline(cols, cand.estimator)
     maps = param_maps(cand.estimator, cand.grid) or [{}]
-    data = class_weights(df, label) if cand.weighted else df
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=evaluator_for(task, label),
-                        foldCol=fold_col, parallelism=parallelism, seed=SEED)
-    model = cv.fit(data.withColumn(fold_col, F.col(fold_col).cast("int")))
-    scores = list(model.avgMetrics)
-    return max(scores), model.bestModel
+    metric = evaluator_for(task, label)
+    folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())
+
+    def weighted(rows: DataFrame) -> DataFrame:
+        return class_weights(rows, label) if cand.weighted else rows
+
+    def score(job) -> float:
+        fold, point = job
+        model = pipe.fit(weighted(df.where(F.col(fold_col) != fold)), point)
+        got = metric.evaluate(model.transform(df.where(F.col(fold_col) == fold)))
+        return float("-inf") if got != got else got
+
+    jobs = [(f, m) for m in maps for f in folds]
+    with ThreadPoolExecutor(parallelism) as pool:
+        got = list(pool.map(inheritable_thread_target(df.sparkSession)(score), jobs))
+    means = [sum(got[i * len(folds) : (i + 1) * len(folds)]) / len(folds) for i in range(len(maps))]
+    best = max(range(len(maps)), key=lambda i: means[i])
+    return means[best], pipe.fit(weighted(df), maps[best])
 
 
 def select_model(results: Sequence[tuple[str, float, object]]):

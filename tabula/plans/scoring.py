@@ -9,10 +9,12 @@ from __future__ import annotations
 import random
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.runlog import best_run, run_log_append, run_log_scan
 from ..operators.split import sample_n
+from ..sources.files import fitted_sink, fitted_source, model_load, model_save
 from .preprocess import PrepSpec, apply_preprocess
 
 
@@ -27,6 +29,43 @@ def batch_score(new: DataFrame, params: dict, spec: PrepSpec, model, experiment:
     return pred.select(spec.id_col, F.col("prediction").alias(f"{experiment}_prediction"))
 
 
+def save_run(spark: SparkSession, root: str, run: dict, params: dict, models: Sequence) -> None:
+    """Store a fitted run below ``root``: preprocessing, one model per target, and its row of the run log.
+
+    ``run`` has run_id, experiment_id, start_time and metrics; the row is written last, so a run that is in the log
+    is complete.
+    """
+    fitted_sink(spark, params, f"{root}/fitted/{run['run_id']}")
+    for i, m in enumerate(models):
+        model_save(m, f"{root}/models/{run['run_id']}/{i}")
+    row = (run["run_id"], "FINISHED", run["start_time"], {k: float(v) for k, v in run["metrics"].items()}, len(models), run["experiment_id"])
+    schema = "run_id string, status string, start_time long, metrics map<string,double>, n_models int, experiment_id string"
+    run_log_append(spark.createDataFrame([row], schema), f"{root}/runs")
+
+
+def load_best_run(spark: SparkSession, root: str, experiment: str, metric_priority: Sequence[str]) -> tuple[dict, list]:
+    """Preprocessing and models of the best finished run of an experiment (O-58, O-04, O-07)."""
+    runs = run_log_scan(spark.read.parquet(f"{root}/runs"), experiment)
+    best = best_run(runs, metric_priority, with_model=runs.where("n_models > 0")).first()
+    n = runs.where(F.col("run_id") == best["run_id"]).first()["n_models"]
+    models = [model_load(f"{root}/models/{best['run_id']}/{i}") for i in range(n)]
+    return fitted_source(spark, f"{root}/fitted/{best['run_id']}"), models
+
+
+def batch_score_targets(new: DataFrame, params: dict, spec: PrepSpec, models: Sequence, experiment: str) -> DataFrame:
+    """O-102 for one or several targets: ``<experiment>_prediction``, or ``<experiment>_prediction_<i>`` for each.
+
+    Every row of ``new`` is scored, repeated ids too.
+    """
+    if len(models) == 1:
+        return batch_score(new, params, spec, models[0], experiment)
+    x, made = apply_preprocess(new, params, spec, is_train=False), []
+    for i, m in enumerate(models):
+        made.append(f"{experiment}_prediction_{i}")
+        x = m.transform(x).select(*x.columns, F.col("prediction").alias(made[-1]))
+    return x.select(spec.id_col, *made)
+
+
 def permutation_shapley(model, x: DataFrame, id_col: str, features: Sequence[str], n_perm: int = 8,
                         n_background: int = 20, seed: int = 42) -> DataFrame:
     """O-103b: sampled permutation Shapley values per (row, feature).

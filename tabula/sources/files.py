@@ -7,6 +7,8 @@ machine-local temporary folder.
 
 from __future__ import annotations
 
+import json
+
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +57,36 @@ def params_source(spark: SparkSession, path: str, fmt: str = "parquet", schema:
     return r.load(path)
 
 
+def fitted_sink(spark: SparkSession, fitted: dict, path: str) -> str:
+    """O-04: persist everything a preprocessing fit returns, as a long table (section, position, key, value as JSON).
+
+    Sections are lists (their order is kept) or dicts by column; sizes are bounded as the fit's literals are.
+    """
+    rows = []
+    for section, content in fitted.items():
+        kind = "list" if isinstance(content, list) else "dict"
+        items = enumerate(content) if kind == "list" else content.items()
+        rows.append((section, kind, -1, "", ""))  # keeps empty sections
+        rows += [(section, kind, i, str(k), json.dumps(v)) for i, (k, v) in enumerate(items)]
+    table = spark.createDataFrame(rows, "section string, kind string, position int, key string, value string")
+    table.coalesce(1).write.mode("overwrite").parquet(path)
+    return path
+
+
+def fitted_source(spark: SparkSession, path: str) -> dict:
+    """O-04: the fit that :func:`fitted_sink` has stored."""
+    out: dict = {}
+    for r in spark.read.parquet(path).orderBy("section", "position").collect():
+        content = out.setdefault(r["section"], [] if r["kind"] == "list" else {})
+        if r["position"] < 0:
+            continue
+        if r["kind"] == "list":
+            content.append(json.loads(r["value"]))
+        else:
+            content[r["key"]] = json.loads(r["value"])
+    return out
+
+
 def model_save(model, path: str) -> str:
     """O-07: save a fitted ``PipelineModel`` (or any MLWritable)."""
     model.write().overwrite().save(path)

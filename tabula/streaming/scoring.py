@@ -1,7 +1,7 @@
 """Streaming batch scoring (O-102 on a Structured Streaming source).
 
-Scoring is stateless, but the preprocessing apply step makes one small
-per-dataset decision (the coercion switch), so each micro-batch is scored as a
+Scoring is stateless and every fitted value, the coercion switch too, is stored with the
+fit, so results do not depend on how rows fall into batches. A micro-batch is scored as a
 static DataFrame inside ``foreachBatch``. Every epoch is written to its own
 folder with ``overwrite``: a retried epoch replaces its own output, so the sink
 is idempotent, and the stream's checkpoint lives in the shared checkpoint folder.

@@ -112,3 +112,28 @@ def test_scratch_folder_is_refused_on_a_cluster(monkeypatch):
     fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
     with pytest.raises(ValueError):
         ensure_checkpoint_dir(fake)
+
+
+def test_stored_fit_scores_as_the_fitted_one_in_any_batches(spark, tmp_path):
+    from tabula.catalog.models import entities, spec_for
+    from tabula.operators import model as ML
+    from tabula.plans.preprocess import apply_preprocess, fit_preprocess
+    from tabula.plans.scoring import batch_score, batch_score_targets, load_best_run, save_run
+
+    from .conftest import SF_SMALL
+
+    df, spec = entities(spark, SF_SMALL).cache(), spec_for("regression")
+    params = fit_preprocess(df, spec)
+    x = apply_preprocess(df, params, spec, is_train=True)
+    model = ML.selection_pipeline(params["features"], ML.LinearRegression(labelCol="mean_price", solver="normal")).fit(x)
+    for k, r2 in enumerate((0.1, 0.7, 0.3)):
+        run = {"run_id": f"r{k}", "experiment_id": "e", "start_time": k, "metrics": {"r2": r2}}
+        save_run(spark, str(tmp_path), run, params if k == 1 else {"features": []}, [model] if k == 1 else [])
+    got, models = load_best_run(spark, str(tmp_path), "e", ["r2"])
+    new = df.unionByName(df.where("id % 10 = 0"))  # repeated ids are scored too
+    want = sorted(map(tuple, batch_score(new, params, spec, model, "e").collect()))
+    assert sorted(map(tuple, batch_score_targets(new, got, spec, models, "e").collect())) == want
+    parts = [r for b in range(3) for r in batch_score_targets(new.where(F.col("id") % 3 == b), got, spec, models, "e").collect()]
+    assert sorted(map(tuple, parts)) == want and len(want) == new.count()
+    two = batch_score_targets(new, got, spec, [models[0], models[0]], "e")
+    assert two.columns == ["id", "e_prediction_0", "e_prediction_1"]
