@@ -34,7 +34,9 @@ KINDS = ("assign", "access", "hex", "markov")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_.-"
 TOKEN = "[A-Za-z0-9+/=_-]{12,}"
-SMOOTHING = 0.5
+#: Added to each character's count; weight of the character frequencies in a row of transitions, so that a row
+#: of few samples (which may hold unlabelled random strings) falls back on how common the next character is at all.
+SMOOTHING, BACKOFF = 0.5, 200.0
 #: Least token length to judge, least mean and total log-likelihood ratio (nats) of a secret.
 MIN_LENGTH, MIN_MEAN, MIN_TOTAL = 16, 0.4, 12.0
 
@@ -70,11 +72,13 @@ def transitions(strings: DataFrame) -> list[float]:
     counts = [0] * (n * n)
     for row in codes.select(F.explode(pairs).alias("p")).groupBy("p").count().where(f"p between 0 and {n * n - 1}").collect():
         counts[row["p"]] = row["count"]
+    next_up = [sum(counts[a * n + b] for a in range(n)) + SMOOTHING for b in range(n)]
+    common = [k / sum(next_up) for k in next_up]
     table = []
     for a in range(n):
         own = counts[a * n : a * n + n]
-        total = sum(own) + SMOOTHING * n
-        table += [math.log((k + SMOOTHING) / total) for k in own]
+        total = sum(own) + BACKOFF
+        table += [math.log((k + BACKOFF * c) / total) for k, c in zip(own, common)]
     return table
 
 
