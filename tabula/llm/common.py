@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,6 +77,19 @@ def with_spans(df: DataFrame, text: str, out: str, pattern: str | Column, group:
     )
 
 
+def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[list[pd.DataFrame]]:
+    """The groups of equal keys of rows that arrive sorted by key, a list of whole groups at a time."""
+    rest = None
+    for pdf in batches:
+        pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+        k = pdf[keys].to_numpy()
+        starts = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]).any(axis=1)]) if len(k) else []
+        yield [pdf.iloc[a:b] for a, b in zip(starts, starts[1:])]
+        rest = pdf.iloc[starts[-1] :] if len(starts) else None
+    if rest is not None:
+        yield [rest]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges`` (a long, b long): (node, component = smallest node).
 

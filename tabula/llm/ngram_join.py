@@ -15,7 +15,8 @@ be that large, in the next one.
 Decisions. Rows of a key are ordered, not gathered: each document is paired with the first and the previous one
 of its key. Equal sets are one document before that. The pairs that share most keys are verified first; pairs
 within one component need no verification. What remains, pairs across components that share a key, is
-verified as well, so no link between components is lost. A pair is verified by its size bound, then the Hamming
+compared by sketch in blocks of a key's documents, and only pairs within the bound leave the task and are verified;
+so no link between components is lost, and no pairs of a key are listed. A pair is verified by its size bound, then the Hamming
 distance of band-sized sketches (folded to the smaller), then the exact intersection of the shingle sets.
 
 Cases: null, empty and blank texts have no shingles and no links; rows that repeat a doc_id are one document,
@@ -34,11 +35,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, keep
+from .common import components, keep, whole_groups
 from .shingles import BASE, WORDS, mix64, shingle_sets
 
 #: Counters of shingle hashes (a fixed table), kept in slices.
 COUNTERS, SLICES = 1 << 18, 16
+#: Sets of a key that one task compares with as many others.
+BLOCK_ROWS = 1024
 #: Up to this many documents of candidate pairs are marked by a broadcast list, more by a shuffle join.
 BROADCAST_IDS = 1_000_000
 #: Stands for a null doc_id where pandas would turn longs to doubles.
@@ -193,6 +196,48 @@ def _near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf.loc[np.array(ok, dtype=bool), ["a", "b"]]
 
 
+def _folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words, folded to the shortest of them."""
+    width = min(map(len, sketches))
+    out = np.empty((len(sketches), width), dtype=np.uint8)
+    for i, s in enumerate(sketches):
+        a = np.frombuffer(s, dtype=np.uint8)
+        while len(a) > width:
+            a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+        out[i] = a
+    return out.view(np.uint64)
+
+
+def _close(g: pd.DataFrame) -> pd.DataFrame | None:
+    """Pairs of two blocks of a key's sets, of different components, within the bound by size and sketch."""
+    bx, by = g["bx"].iloc[0], g["by"].iloc[0]
+    blk = g["blk"].to_numpy()
+    x, y = np.flatnonzero(blk == bx), np.flatnonzero(blk == by)
+    if not len(x) or not len(y):
+        return None
+    n, comp, sid, sk = g["n"].to_numpy(), g["comp"].to_numpy(), g["sid"].to_numpy(), _folded(g["sketch"].tolist())
+    step, out = max(1, (1 << 21) // (len(y) * sk.shape[1])), []
+    for at in range(0, len(x), step):
+        i = x[at : at + step]
+        total = n[i][:, None] + n[y][None, :]
+        ok = (comp[i][:, None] != comp[y][None, :]) & (7 * np.minimum(n[i][:, None], n[y][None, :]) >= 3 * total)
+        if bx == by:
+            ok &= sid[i][:, None] < sid[y][None, :]
+        p, q = np.nonzero(ok)
+        if len(p):
+            near = np.bitwise_count(sk[i[p]] ^ sk[y[q]]).sum(axis=1, dtype=np.int64) <= total[p, q] // 7
+            out.append(np.stack([sid[i[p[near]]], sid[y[q[near]]]], axis=1))
+    pairs = np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
+    return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)}) if len(pairs) else None
+
+
+def _close_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for groups in whole_groups(batches, ["sig", "bx", "by"]):
+        found = [x for x in map(_close, groups) if x is not None]
+        if found:
+            yield pd.concat(found).drop_duplicates()
+
+
 def _verify(words: int, percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -274,12 +319,16 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     member = member.join(node, "sid")
     mixed = member.groupBy("sig").agg(
         F.count(F.lit(1)).alias("k"), F.min("comp").alias("lo"), F.max("comp").alias("hi")
-    ).where("k > 3 and lo <> hi").select("sig")
-    member = keep(member.join(mixed, "sig").select("sig", "sid", "comp"), "jaccard-mixed")
-    one = member.select("sig", F.col("sid").alias("a"), F.col("comp").alias("comp_a"))
-    two = member.select("sig", F.col("sid").alias("b"), F.col("comp").alias("comp_b"))
-    others = one.join(two, "sig").where("a < b and comp_a <> comp_b").select("a", "b")
-    more = join.verified(rest.unionByName(others).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    ).where("k > 3 and lo <> hi").select("sig", F.ceil(F.col("k") / float(BLOCK_ROWS)).cast("int").alias("blocks"))
+    member = member.join(mixed, "sig").withColumn("blk", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    member = member.select(
+        "sig", "sid", "comp", "blk", F.least("blk", "other").alias("bx"), F.greatest("blk", "other").alias("by")
+    ).join(join.sets.select("sid", "n", "sketch"), "sid")
+    dealt = member.repartition("sig", "bx", "by").sortWithinPartitions("sig", "bx", "by")
+    others = dealt.mapInPandas(_close_pairs, "a long, b long")
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = join.verified(rest.unionByName(others).distinct())
     if not more.isEmpty():
         comps = components(first.unionByName(more))
     named = join.sets.select("sid", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
