@@ -13,8 +13,8 @@ shared by many documents rarely serves as a key. A document takes part in its ow
 be that large, in the next one.
 
 Decisions. Rows of a key are ordered, not gathered: each document is paired with the first and the previous one
-of its key. Equal sets are one document before that. The pairs that share most keys are verified first; pairs
-within one component need no verification. What remains, pairs across components that share a key, is
+of its key. Equal sets are one document before that. For each document the pair that shares most keys is verified
+first, then the other neighbours; pairs within one component need no verification. What remains, pairs across components that share a key, is
 compared by sketch in blocks of a key's documents, and only pairs within the bound leave the task and are verified;
 so no link between components is lost, and no pairs of a key are listed. A pair is verified by its size bound, then the Hamming
 distance of band-sized sketches (folded to the smaller), then the exact intersection of the shingle sets.
@@ -282,6 +282,12 @@ class _Join:
         rows = rows.where("prev is not null and prev <> sid")
         return keep(rows, "jaccard-keys")
 
+    def nodes(self, edges: DataFrame) -> DataFrame:
+        """(sid, comp): every set with the smallest doc_id of its component."""
+        comps = components(edges).withColumnRenamed("node", "rep")
+        found = self.sets.select("sid", "rep").join(comps, "rep", "left")
+        return keep(found.select("sid", F.coalesce("component", "rep").alias("comp")), "jaccard-nodes")
+
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The linked pairs (a, b) among pairs (a, b) of set names, as smallest doc_ids of their sets."""
         s = self.sets
@@ -307,14 +313,17 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     best = pairs.groupBy("sid").agg(F.max(F.struct("shared", F.col("other"))).alias("m")).select(
         F.col("sid").alias("a"), F.col("m.other").alias("b")
     )
-    first = join.verified(best)
-    comps = components(first)
-    node = join.sets.select("sid", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-    node = keep(node.select("sid", F.coalesce("component", "rep").alias("comp")), "jaccard-nodes")
+    edges = join.verified(best)
+    node = join.nodes(edges)
+    # neighbours in a key that were not the best, across components
     na, nb = (node.select(F.col("sid").alias(c), F.col("comp").alias(f"comp_{c}")) for c in "ab")
-    # pairs of neighbours in a key that were not the best, and all other pairs of a key, across components
     rest = pairs.select(F.col("sid").alias("a"), F.col("other").alias("b")).join(best, ["a", "b"], "left_anti")
-    rest = rest.join(na, "a").join(nb, "b").where("comp_a <> comp_b").select("a", "b")
+    rest = rest.join(na, "a").join(nb, "b").where("comp_a <> comp_b")
+    more = join.verified(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    if not more.isEmpty():
+        edges = edges.unionByName(more)
+        node = join.nodes(edges)
+    # all other pairs of a key, across the components that are left
     member = keyed.select("sig", "sid").unionByName(keyed.select("sig", F.col("first").alias("sid")).distinct())
     member = member.join(node, "sid")
     mixed = member.groupBy("sig").agg(
@@ -327,12 +336,10 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     ).join(join.sets.select("sid", "n", "sketch"), "sid")
     dealt = member.repartition("sig", "bx", "by").sortWithinPartitions("sig", "bx", "by")
     others = dealt.mapInPandas(_close_pairs, "a long, b long")
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = join.verified(rest.unionByName(others).distinct())
+    more = join.verified(others.distinct())
     if not more.isEmpty():
-        comps = components(first.unionByName(more))
-    named = join.sets.select("sid", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select("sid", F.coalesce("component", "rep").alias("component_id"))
+        node = join.nodes(edges.unionByName(more))
+    named = node.select("sid", F.col("comp").alias("component_id"))
     out = join.profile.join(named, "sid", "left")
     alone = F.col("n") == 0
     return out.select(
