@@ -20,7 +20,8 @@ not hold, are settled by counting hashes of their windows instead.
 
 Cases: null text is empty; texts below LENGTH bytes lose nothing; equal texts of LENGTH bytes or more lose all;
 very long texts are cut into overlapping segments; an empty table gives no rows; rows that repeat a doc_id are
-rows of their own.
+rows of their own; rows with a null doc_id count as any other and have a result row with a null doc_id. Inside, such
+a row goes by a hash of its text, so that no key holds all of them.
 """
 
 from __future__ import annotations
@@ -117,7 +118,7 @@ def anchors(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]
 
 
 def _profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """kind 0: text (n_bytes, sha256); kind 1: anchor (position, gram, surroundings); kind 2: span (start, end)."""
+    """kind 0: text (n_bytes, 1 if the id is null, sha256); kind 1: anchor (position, gram, surroundings); kind 2: span (start, end)."""
     seen: set[bytes] = set()
     for pdf in batches:
         ids, tids, kinds, a, b_, c, shas = [], [], [], [], [], [], []
@@ -133,11 +134,11 @@ def _profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             shas.extend([sha] * k)
 
         zero = np.zeros(1, dtype=np.int64)
-        for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+        for doc_id, no_id, text in zip(pdf["doc_id"], pdf["no_id"], pdf["text"]):
             raw = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
             digest = hashlib.sha256(raw)
             tid = digest.digest()[:16]
-            put(doc_id, tid, 0, np.array([len(raw)]), zero, zero, digest.hexdigest())
+            put(doc_id, tid, 0, np.array([len(raw)]), zero + int(no_id), zero, digest.hexdigest())
             if len(raw) < LENGTH or tid in seen:
                 continue
             if len(seen) < 1 << 20:  # only spares rows: copies in other tasks meet in the shuffle
@@ -311,12 +312,24 @@ def _remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(out, columns=["doc_id", "tid", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, no_id, text) of every row; for a null doc_id (no_id) a hash of the text stands in.
+
+    What is found is kept by doc_id and tid, so a stand-in may equal a real id.
+    """
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(F.coalesce(doc_id, F.xxhash64("text")).alias("doc_id"), doc_id.isNull().alias("no_id"), "text")
+
+
 def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The texts (doc_id, tid, n_bytes, sha, copies) and, for texts without a copy, spans (doc_id, tid, start, end)."""
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """The texts (doc_id, no_id, tid, n_bytes, sha, copies) and, for texts without a copy, spans (doc_id, tid, start,
+    end); doc_id as in ``_rows``."""
+    src = _rows(docs)
     schema = "doc_id long, tid binary, kind int, a long, b long, c long, sha string"
-    profile = keep(src.where("doc_id is not null").mapInPandas(_profile, schema), "suffix-profile")
-    texts = profile.where("kind = 0").select("doc_id", "tid", F.col("a").alias("n_bytes"), "sha")
+    profile = keep(src.mapInPandas(_profile, schema), "suffix-profile")
+    texts = profile.where("kind = 0").select(
+        "doc_id", (F.col("b") == 1).alias("no_id"), "tid", F.col("a").alias("n_bytes"), "sha"
+    )
     copies = keep(texts.groupBy("tid").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1"), "suffix-copies")
     texts = texts.join(copies, "tid", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
     # a copied text is gone as a whole; one of it stays among the anchors, for the windows that others share with it
@@ -325,7 +338,7 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     marks = keep(marks.join(often.select("b"), "b"), "suffix-anchors")
     alike = marks.groupBy("b", "c").agg(F.count(F.lit(1)).alias("same"), F.min(F.struct("tid", "a")).alias("lead"))
     known = alike.where("same > 1").select("b", "c")
-    size = texts.select("tid", "doc_id", "n_bytes")
+    size = texts.where("copies = 1").select("tid", "doc_id", "n_bytes")
     whole = marks.join(known, ["b", "c"]).join(size, ["tid", "doc_id"]).select(
         "doc_id",
         "tid",
@@ -338,7 +351,17 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lead = keep(lead.join(several, "b").join(marks.select("b", "tid", "a", "doc_id"), ["b", "tid", "a"]), "suffix-wanted")
     wanted = lead.groupBy("doc_id", "tid").agg(F.collect_list(F.struct("a", "b")).alias("at"))
     few = lead.count() <= BROADCAST_ROWS
-    tuples = src.join(F.broadcast(wanted) if few else wanted, "doc_id").mapInPandas(
+    long = src.where(F.octet_length("text") >= LENGTH).select("doc_id", "text")
+    found = long.join(F.broadcast(wanted) if few else wanted, "doc_id")
+    # equal texts under one id (or without ids) are cut out once
+    again = texts.where("copies > 1").join(wanted.select("doc_id", "tid"), ["doc_id", "tid"])
+    again = keep(again.groupBy("doc_id", "tid").count().where("count > 1").drop("count"), "suffix-again")
+    if not again.isEmpty():
+        digest = F.unhex(F.substring(F.sha2(F.col("text").cast("binary"), 256), 1, 32))
+        found = found.where(digest == F.col("tid"))
+        once = found.join(again, ["doc_id", "tid"], "left_semi").dropDuplicates(["doc_id", "tid"])
+        found = found.join(again, ["doc_id", "tid"], "left_anti").unionByName(once)
+    tuples = found.mapInPandas(
         _cut_out, "doc_id long, tid binary, pos long, gram long, left binary, right binary"
     )
     hot = keep(several.where(F.col("m") > HOT_GROUP).select(F.col("b").alias("gram")), "suffix-hot")
@@ -365,13 +388,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     texts, spans = repeated_spans(docs)
     lists = keep(spans.groupBy("doc_id", "tid").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "suffix-spans")
     few = lists.count() <= BROADCAST_ROWS // 4
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    src = _rows(docs).where(F.octet_length("text") >= LENGTH).select("doc_id", "text")
     cut = src.join(F.broadcast(lists) if few else lists, "doc_id").mapInPandas(
         _remove, "doc_id long, tid binary, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
     return texts.join(cut, ["doc_id", "tid"], "left").select(
-        "doc_id",
+        F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"),
         "n_bytes",
         F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(gone, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),

@@ -248,6 +248,34 @@ def test_suffix_dedup_both_ways(spark, hot, monkeypatch):
     assert S.remove_repeats(data.none(spark)).count() == 0
 
 
+@pytest.mark.parametrize("listed", [0, 1_000_000])
+def test_suffix_dedup_null_ids(spark, listed, monkeypatch):
+    """Rows without an id have results, and their texts are partners, of rows with and without ids."""
+    from tabula.llm import suffix_dedup as S
+
+    monkeypatch.setattr(S, "BROADCAST_ROWS", listed)
+    rng = data.random.Random(11)
+    prose = [" ".join(data.words(rng, 150)) for _ in range(12)]
+    passage = " ".join(data.words(rng, 120))
+    rows = [(i, t) for i, t in enumerate(prose[:6])] + [(None, t) for t in prose[6:]]
+    rows += [(None, prose[0]), (None, prose[7]), (None, prose[7]), (None, prose[7]), (40, prose[8])]  # copies
+    rows += [(50, prose[9][:500] + " tail"), (None, prose[1][100:700]), (None, "head " + prose[7][30:600])]
+    rows += [(60, "one " + passage), (None, "two " + passage), (None, passage + " three"), (None, None), (None, ""), (None, "short")]
+    raw = [(t or "").encode() for _, t in rows]
+    seen = Counter(b[x : x + 400] for b in raw for x in range(len(b) - 399))
+    want = Counter()
+    for (i, _), b in zip(rows, raw):
+        gone = bytearray(len(b))
+        for x in range(len(b) - 399):
+            if seen[b[x : x + 400]] > 1:
+                gone[x : x + 400] = b"\1" * 400
+        rest = bytes(c for c, g in zip(b, gone) if not g)
+        want[i, len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(rest).hexdigest()] += 1
+    df = data.frame(spark, [t for _, t in rows], ids=[i for i, _ in rows])
+    got = S.remove_repeats(df).drop("kept").collect()
+    assert Counter(tuple(r) for r in got) == want
+
+
 # -- packing
 
 
