@@ -4,7 +4,11 @@ Documents of equal text are linked. Each starts in the shard of its hash; in rou
 the shard that holds most of their neighbours, as far as that shard's quota allows, so links end up uncut and
 sizes even. Documents of one group are alike to the method, so the state is a table of counts by (group, shard):
 a round is a join and aggregations over it, however many documents a group has. A group larger than a shard
-fills one shard after the other.
+moves to as many of its fullest shards as it fills.
+
+A shard takes in a round as many documents as it has room for and as leave it in that round, so full shards
+swap. One that can take none is passed over until documents have moved. Each move leaves fewer links cut, and
+the rounds end when no shard can take any of the documents that would move.
 
 The law is ``rows``: shard counts differ by at most one. Linked documents beyond a shard's quota, and all
 documents without a copy, fill what is left of the quotas in hash order. Numbers within shards and groups come
@@ -16,13 +20,14 @@ copies; fewer rows than shards leave shards empty; an empty table gives no rows.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import keep
 
-SHARDS, ROUNDS = 24, 12
-#: Share of a quota that linked documents may take while they move.
+SHARDS = 24
+#: Share of a quota that linked documents may take while they move, if all of them fit into it.
 FILL = 0.98
 #: Groups above this size are numbered by hash prefix.
 BIG_GROUP = 1_000
@@ -40,32 +45,77 @@ def _numbered(df: DataFrame, by: list[str], split: Column, out: str) -> DataFram
     ).drop("__b", "__at", "__before")
 
 
-def propagate(counts: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> DataFrame:
-    """Move counts (g, shard, n) towards the fullest shard of each group, within ``FILL`` of the quotas."""
-    shards = len(quotas)
-    for turn in range(rounds):
-        load = [0] * shards
-        for r in counts.groupBy("shard").agg(F.sum("n").alias("n")).collect():
-            load[r["shard"]] = r["n"]
-        free = [max(0, int(q * FILL) - x) for q, x in zip(quotas, load)]
-        room = F.element_at(F.array(*[F.lit(x) for x in free]), F.col("shard") + 1)
-        tie = F.xxhash64("g", "shard")
-        # a group wants its fullest shard among those with room; documents in a fuller one stay
-        want = counts.where(room > 0).groupBy("g").agg(F.max(F.struct("n", tie.alias("t"), "shard")).alias("to"))
-        moves = counts.join(want, "g", "left").withColumn("here", F.struct("n", tie.alias("t"), "shard"))
-        moves = moves.withColumn("to", F.when(F.col("to") > F.col("here"), F.col("to.shard")))
-        asked = {r["to"]: r["n"] for r in moves.where("to is not null").groupBy("to").agg(F.sum("n").alias("n")).collect()}
-        if not asked:
-            break
-        share = [min(1.0, free[s] / asked[s]) if s in asked else 0.0 for s in range(shards)]
-        p = F.element_at(F.array(*[F.lit(x) for x in share]), F.col("to") + 1)
-        open_room = F.element_at(F.array(*[F.lit(x) for x in free]), F.col("to") + 1)
+def shares(asked: np.ndarray, free: np.ndarray) -> np.ndarray:
+    """The share of what is asked of each shard that may move: as much goes in as comes out, besides the free room.
+
+    ``asked[a, b]`` is the number of documents that would go from a to b.
+    """
+    into = asked.sum(axis=0)
+    share = (into > 0).astype(float)
+    while True:
+        can = np.maximum(free + asked @ share, 0) / np.maximum(into, 1)
+        less = np.minimum(share, can)
+        if (share - less).max(initial=0) < 1e-4:
+            return less
+        share = less
+
+
+def _loads(counts: DataFrame, shards: int) -> list[int]:
+    load = [0] * shards
+    for r in counts.groupBy("shard").agg(F.sum("n").alias("n")).collect():
+        load[r["shard"]] = r["n"]
+    return load
+
+
+def propagate(counts: DataFrame, quotas: list[int]) -> DataFrame:
+    """Move counts (g, shard, n) towards the fullest shards of each group, until no move is left within the quotas."""
+    shards, turn = len(quotas), 0
+    load = _loads(counts, shards)
+    # where linked documents need more than FILL, each shard takes its part of them
+    limit = [max(int(q * FILL), -(-q * sum(load) // max(1, sum(quotas)))) for q in quotas]
+    shut: set[int] = set()  # shards that could take none since the last move
+    afresh = True  # no shard was shut at first since the last move
+
+    def by_shard(values, shard: Column) -> Column:
+        return F.element_at(F.array(*[F.lit(x) for x in values]), shard + 1)
+
+    while True:
+        free = [x - y for x, y in zip(limit, load)]
+        # a group wants its fullest open shards, as many as it fills; documents elsewhere go to one of them
+        one = F.struct("n", F.xxhash64("g", "shard").alias("t"), "shard")
+        want = counts.where(~F.col("shard").isin(shut)) if shut else counts
+        want = want.groupBy("g").agg(F.sort_array(F.collect_list(one), asc=False).alias("open"), F.sum("n").alias("k"))
+        fills = F.greatest(F.lit(1), F.floor(F.col("k") / float(max(1, *limit)))).cast("int")
+        want = want.select("g", F.slice("open", F.lit(1), fills).alias("best"))
+        moves = counts.join(want, "g", "left")
+        pick = F.pmod(F.xxhash64("g", "shard", F.lit(turn)), F.size("best")).cast("int")
+        there = F.exists("best", lambda x: x["shard"] == F.col("shard"))
+        moves = moves.withColumn("to", F.when(F.col("best").isNotNull() & ~there, F.get("best", pick)))
+        # from a fuller shard, which is shut, documents go as a whole
+        fewer = F.col("to.n") >= F.col("n")
+        small = F.col("n") * 20 <= by_shard(free, F.col("to.shard"))
+        moves = moves.withColumn("fewer", fewer).withColumn("to", F.when(fewer | small, F.col("to.shard")))
+        asked = np.zeros((shards, shards))
+        for r in moves.where("to is not null").groupBy("shard", "to").agg(F.sum("n").alias("n")).collect():
+            asked[r["shard"], r["to"]] = r["n"]
+        share = shares(asked, np.array(free, dtype=float))
+        enters = share * asked.sum(axis=0)
+        stuck = {s for s in range(shards) if asked[:, s].any() and enters[s] < 1}
+        if enters.sum() < 1:
+            if stuck:
+                shut |= stuck
+            elif afresh:
+                return counts
+            else:
+                shut, afresh = set(), True
+            continue
+        p, room = by_shard(share.tolist(), F.col("to")), by_shard(enters.tolist(), F.col("to"))
         chance = F.pmod(F.xxhash64("g", F.lit(turn)), F.lit(1 << 30)) / float(1 << 30)
         odds = F.pmod(F.xxhash64("g", "shard", F.lit(turn)), F.lit(1 << 30)) / float(1 << 30)  # rounds at random
         # small groups move whole or not at all, large ones in part
         gone = (
             F.when(F.col("to").isNull(), F.lit(0))
-            .when(F.col("n") * 20 > open_room, F.least(F.col("n"), F.floor(F.col("n") * p + odds)))
+            .when(F.col("fewer") & (F.col("n") * 20 > room), F.least(F.col("n"), F.floor(F.col("n") * p + odds)))
             .when(chance < p, F.col("n"))
             .otherwise(F.lit(0))
             .cast("long")
@@ -79,7 +129,8 @@ def propagate(counts: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> Dat
             .where("n > 0"),
             "shard-counts",
         )
-    return counts
+        load, turn = _loads(counts, shards), turn + 1
+        shut, afresh = stuck, not stuck
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:

@@ -203,6 +203,32 @@ def test_sharding_hot_group_fills_shards_in_turn(spark):
     check_law(shard_documents(data.frame(spark, ["a", "a", "a"])).collect(), 24)
 
 
+def test_sharding_swaps_between_full_shards(spark):
+    """Where every row has a copy no shard has room, so documents can only change places."""
+    from tabula.llm.sharding import shard_documents
+
+    df = data.frame(spark, [f"text {i // 2}" for i in range(1200)])
+    got = shard_documents(df, shards=8).collect()
+    check_law(got, 8)
+    texts = {r["doc_id"]: r["text"] for r in df.collect()}
+    shards = defaultdict(set)
+    for r in got:
+        shards[texts[r["doc_id"]]].add(r["shard"])
+    assert sum(len(x) == 1 for x in shards.values()) >= 0.9 * len(shards)
+
+
+def test_sharding_group_of_many_shards(spark):
+    """A group larger than a shard fills as many shards as it can."""
+    from tabula.llm.sharding import shard_documents
+
+    df = data.frame(spark, ["same text"] * 1600 + [f"t{i}" for i in range(800)])
+    got = shard_documents(df, shards=24).collect()
+    check_law(got, 24)
+    hot = {r["doc_id"] for r in df.collect() if r["text"] == "same text"}
+    full = Counter(r["shard"] for r in got if r["doc_id"] in hot)
+    assert sum(n >= 95 for n in full.values()) >= 15
+
+
 # -- repeated strings
 
 
