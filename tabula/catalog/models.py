@@ -57,12 +57,12 @@ def q_preprocess(spark, sf):
 
 @query("loco_experiment_regression", "O-90")
 def q_loco_regression(spark, sf):
-    return loco_experiment(entities(spark, sf), spec_for("regression"), grid_scale="small", max_splits=5)
+    return loco_experiment(entities(spark, sf), spec_for("regression"), max_splits=5)
 
 
 @query("loco_experiment_multilabel", "O-90")
 def q_loco_multilabel(spark, sf):
-    return loco_experiment(entities(spark, sf), spec_for("multilabel_classification"), grid_scale="small", max_splits=5)
+    return loco_experiment(entities(spark, sf), spec_for("multilabel_classification"), max_splits=5)
 
 
 def _prepared(spark, sf, task):
@@ -78,8 +78,7 @@ def q_grid_search(spark, sf):
     from ..plans.experiment import stratum_column
 
     folded = stratified_folds(stratum_column(x, spec), "__stratum", "id", max_splits=5)
-    cand = ML.Candidate("random_forest", ML.RandomForestRegressor(labelCol="mean_price", seed=ML.SEED),
-                        {"numTrees": [10, 20], "maxDepth": [3, 5]})
+    cand = ML.Candidate("random_forest", ML.RandomForestRegressor(labelCol="mean_price", seed=ML.SEED), ML.RF_GRID)
     score, model = ML.grid_search(folded, p["features"], cand, "regression", "fold", "mean_price")
     return model.transform(x).select("id", "mean_price", "prediction").withColumn("cv_score", F.lit(score))
 
@@ -91,7 +90,7 @@ def q_select_model(spark, sf):
 
     folded = stratified_folds(stratum_column(x, spec), "__stratum", "id", max_splits=5)
     res = []
-    for cand in ML.regression_candidates("mean_price", "small"):
+    for cand in ML.regression_candidates("mean_price"):
         s, m = ML.grid_search(folded, p["features"], cand, "regression", "fold", "mean_price")
         res.append((cand.name, s, m))
     name, score, _ = ML.select_model(res)

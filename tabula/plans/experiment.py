@@ -44,7 +44,7 @@ def evaluate(pred: DataFrame, spec: PrepSpec, keys: Sequence[str] = ()) -> DataF
     return acc.join(wf1, list(keys)) if keys else acc.withColumn("__o", F.lit(1)).join(wf1.withColumn("__o", F.lit(1)), "__o").drop("__o")
 
 
-def loco_experiment(df: DataFrame, spec: PrepSpec, grid_scale: str = "small", max_splits: int = 5) -> DataFrame:
+def loco_experiment(df: DataFrame, spec: PrepSpec, grid_scale: str = "full", max_splits: int = 5) -> DataFrame:
     """One result row per held-out cohort: sizes, selected model, its CV score and held-out metrics."""
     spark = df.sparkSession
     cohorts = cohort_list(df, spec.cohort_col)
@@ -71,13 +71,12 @@ def loco_experiment(df: DataFrame, spec: PrepSpec, grid_scale: str = "small", ma
             name, score, model = ML.select_model(results)
             pred = model.transform(test).select(spec.id_col, label, "prediction")
         else:
-            # multilabel: one binary random forest per label column (O-97), CV-free refit on all train rows
-            name, score = "random_forest_per_label", float("nan")
-
-            def make(lab):
-                return ML.RandomForestClassifier(labelCol=lab, featuresCol="features", seed=ML.SEED, numTrees=20, maxDepth=5)
-
-            models = ML.fit_per_label(folded, feats, spec.targets, make)
+            # multilabel: one binary model per label column (O-97), a grid point serves all labels
+            results = []
+            for cand in ML.classification_candidates(spec.targets[0], grid_scale):
+                score, models = ML.grid_search_per_label(folded, feats, cand, spec.targets, "fold")
+                results.append((f"{cand.name}_per_label", score, models))
+            name, score, models = ML.select_model(results)
             pred = ML.predict_per_label(models, test, [spec.id_col, *spec.targets])
         m = evaluate(pred.withColumn("held_out", F.lit(c)), spec, ["held_out"])
         metric_frames.append(m)
