@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import (  # noqa: F401
     merkle_queries,
     mixing_queries,
+    negatives_queries,
     ngram_queries,
     packing_queries,
     pii_queries,
