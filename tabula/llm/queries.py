@@ -9,6 +9,7 @@ from . import (  # noqa: F401
     ngram_queries,
     packing_queries,
     pii_queries,
+    quality_queries,
     secrets_queries,
     sharding_queries,
     suffix_queries,
