@@ -125,19 +125,24 @@ def describe(run: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     heads = np.flatnonzero((rank % PASSAGE_WORDS == 0) & (rank > 0))
     begin[passage[heads]] = starts[heads]
     length = np.diff(np.append(begin, len(raw)))
-    at = np.repeat(np.arange(total), length)
-    kind = KIND[raw].astype(np.int64)
-    n = np.maximum(length - 1, 1)[:, None]
-    codes = np.bincount(at * CODES + CODE[raw], minlength=total * CODES).reshape(total, CODES)
-    pair = at[:-1] * (KINDS * KINDS) + kind[:-1] * KINDS + kind[1:]
+    # the line feeds that join the pieces are not part of them; pairs lie within a passage
+    length[np.append(first[1:], total) - 1] -= 1
+    own = np.ones(len(raw), dtype=bool)
+    own[offsets[1:] - 1] = False
+    at, seen = np.repeat(np.arange(total), length), raw[own]
+    n = np.maximum(length, 1)[:, None]
+    codes = np.bincount(at * CODES + CODE[seen], minlength=total * CODES).reshape(total, CODES)
+    inside, kind = at[1:] == at[:-1], KIND[seen].astype(np.int64)
+    pair = (at[:-1] * (KINDS * KINDS) + kind[:-1] * KINDS + kind[1:])[inside]
     pairs = np.bincount(pair, minlength=total * KINDS * KINDS).reshape(total, KINDS * KINDS)
     lines = codes[:, LINE].copy()
 
     up, down = POWERS.get(len(raw))
-    low = raw + np.where(kind == UPPER, np.uint8(32), np.uint8(0))
+    upper = KIND[raw] == UPPER
+    low = raw + np.where(upper, np.uint8(32), np.uint8(0))
     sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up, dtype=np.uint64)])
     word = mix64((sums[ends] - sums[starts]) * down[starts])
-    uppers = np.concatenate([[0], np.cumsum(kind == UPPER)])
+    uppers = np.concatenate([[0], np.cumsum(upper)])
     size = ends - starts
 
     def per(weights) -> np.ndarray:
