@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from ..functions.numeric import r6
 from ..operators import model as ML
+from ..operators.encode import fit_categories, get_dummies
 from ..operators.profile import melt
 from ..operators.score import linear_attribution
 from ..operators.split import stratified_folds
 from ..plans.eda import eda_report, pca_2d
-from ..plans.experiment import loco_experiment, entity_table
+from ..plans.experiment import entity_table, loco_experiment, run_loco
 from ..plans.preprocess import PrepSpec, apply_preprocess, fit_preprocess
 from ..session import load, stored
 from ..sources import files as IO
@@ -55,14 +58,74 @@ def q_preprocess(spark, sf):
     return apply_preprocess(df.where(F.col("cohort") == "ASIA"), params, spec, is_train=False)
 
 
+# Boosting rounds are one job per level each, so small tables pay for jobs, not rows: 200 rounds of one grid point take
+# 40 s over 1,200 rows. The experiments below search this part of the boosting grid; the library's default is all of it.
+BOOSTED_PART = {"maxIter": [10, 20], "maxDepth": [3], "stepSize": [0.1]}
+# One-hot targets multiply every fit by the number of classes.
+FOREST_PART = {"numTrees": [10, 20], "maxDepth": [5, 10]}
+
+
+def _classifiers(label: str, forest: dict, boosted: dict) -> list:
+    found = ML.classification_candidates(label)
+    return [dataclasses.replace(c, grid=boosted if c.name.startswith("boosted") else forest) for c in found]
+
+
 @query("loco_experiment_regression", "O-90")
 def q_loco_regression(spark, sf):
+    """Both candidates over their whole grids in every cohort's turn."""
     return loco_experiment(entities(spark, sf), spec_for("regression"), max_splits=5)
 
 
 @query("loco_experiment_multilabel", "O-90")
 def q_loco_multilabel(spark, sf):
-    return loco_experiment(entities(spark, sf), spec_for("multilabel_classification"), max_splits=5)
+    """Forests over their whole grid, with and without class weights, and a part of the boosting grid."""
+    cands = _classifiers("has_urgent", ML.RF_GRID, BOOSTED_PART)
+    return loco_experiment(entities(spark, sf), spec_for("multilabel_classification"), max_splits=5, candidates=cands)
+
+
+def one_hot_entities(spark, sf):
+    """The entity table with its segment as one 0/1 target per value (O-73), and the spec of those targets."""
+    df, spec = entities(spark, sf), spec_for("multiclass_classification")
+    wide = get_dummies(df, fit_categories(df, ["segment"]))
+    spec.targets = [c for c in wide.columns if c not in df.columns]
+    return wide.select(*[F.col(f"`{c}`").cast("int").alias(c) if c in spec.targets else F.col(f"`{c}`") for c in wide.columns]), spec
+
+
+@query("loco_experiment_multi_output", "O-98")
+def q_loco_multi_output(spark, sf):
+    """Joint search over the one-hot columns of a class target, a row per cohort."""
+    df, spec = one_hot_entities(spark, sf)
+    cands = _classifiers(spec.targets[0], FOREST_PART, BOOSTED_PART)[:2]
+    return loco_experiment(df, spec, max_splits=5, candidates=cands)
+
+
+@query("loco_per_target_reports", "O-90")
+def q_loco_reports(spark, sf):
+    """Precision, recall, F1 and support of every class of every target, for every held-out cohort."""
+    forest = dataclasses.replace(ML.classification_candidates("has_urgent")[0], grid={"numTrees": [10, 20], "maxDepth": [3, 5]})
+    return run_loco(entities(spark, sf), spec_for("multilabel_classification"), candidates=[forest]).reports
+
+
+@query("loco_run_log", "O-06")
+def q_loco_run_log(spark, sf):
+    """An experiment's rows put into a run log twice (a retry), read back by O-05, and the best run by O-58."""
+    from ..operators.runlog import best_run, run_log_replace, run_log_scan
+
+    ols = ML.regression_candidates("mean_price")[:1]
+    runs = run_loco(entities(spark, sf), spec_for("regression"), candidates=ols, experiment="outcome_regression").runs
+    path = IO.scratch_path(spark, "experiment-runs")
+    runs = stored(runs, "runs")
+    run_log_replace(runs, path)
+    run_log_replace(runs.where("run_id like '%asia'"), path)
+    log = run_log_scan(spark.read.parquet(path), "outcome_regression")
+    best = best_run(log, ["test_r2"]).select(F.col("run_id").alias("best_run"))
+    flat = log.select(
+        "run_id", "status", F.col("tags")["held_out_cohort"].alias("held_out"), F.col("params")["selected_model"].alias("model"),
+        F.col("params")["n_train"].cast("long").alias("n_train"), F.col("metrics")["cv_score"].alias("cv_score"),
+        F.col("metrics")["test_r2"].alias("test_r2"), F.col("metrics")["test_rmse"].alias("test_rmse"),
+    )
+    marked = flat.join(F.broadcast(best), flat.run_id == best.best_run, "left")
+    return marked.withColumn("is_best", F.col("best_run").isNotNull()).drop("best_run")
 
 
 def _prepared(spark, sf, task):
@@ -72,29 +135,32 @@ def _prepared(spark, sf, task):
     return apply_preprocess(df, params, spec, is_train=True), params, spec
 
 
-@query("grid_search", "O-91")
-def q_grid_search(spark, sf):
-    x, p, spec = _prepared(spark, sf, "regression")
+def _folded(spark, sf, task):
+    """Prepared rows with their inner folds, and the features."""
     from ..plans.experiment import stratum_column
 
-    folded = stratified_folds(stratum_column(x, spec), "__stratum", "id", max_splits=5)
-    cand = ML.Candidate("random_forest", ML.RandomForestRegressor(labelCol="mean_price", seed=ML.SEED), ML.RF_GRID)
-    score, model = ML.grid_search(folded, p["features"], cand, "regression", "fold", "mean_price")
-    return model.transform(x).select("id", "mean_price", "prediction").withColumn("cv_score", F.lit(score))
+    x, p, spec = _prepared(spark, sf, task)
+    x = stored(x, "prepared")
+    return x, stored(stratified_folds(stratum_column(x, spec), "__stratum", "id", max_splits=5), "folds"), p, spec
+
+
+@query("grid_search", "O-91")
+def q_grid_search(spark, sf):
+    """The forest's whole grid over five folds; the best point, refitted, predicts every row."""
+    x, folded, p, _ = _folded(spark, sf, "regression")
+    score, model = ML.grid_search(folded, p["features"], ML.regression_candidates("mean_price")[1], "regression", "fold", "mean_price")
+    return model.transform(x).select("id", "mean_price", "prediction").withColumn("cv_score", F.lit(float(score)))
 
 
 @query("select_model", "O-92")
 def q_select_model(spark, sf):
-    x, p, spec = _prepared(spark, sf, "regression")
-    from ..plans.experiment import stratum_column
+    """Both candidates of a regression, each at the best point of its whole grid, and the one selected."""
+    from ..plans.experiment import search_candidates
 
-    folded = stratified_folds(stratum_column(x, spec), "__stratum", "id", max_splits=5)
-    res = []
-    for cand in ML.regression_candidates("mean_price"):
-        s, m = ML.grid_search(folded, p["features"], cand, "regression", "fold", "mean_price")
-        res.append((cand.name, s, m))
-    name, score, _ = ML.select_model(res)
-    return spark.createDataFrame([(n, float(s), n == name) for n, s, _ in res], "model string, cv_score double, selected boolean")
+    _, folded, p, spec = _folded(spark, sf, "regression")
+    found, name, _, _ = search_candidates(folded, p["features"], spec, ML.regression_candidates("mean_price"))
+    rows = [(n, s, n == name) for n, s in found]
+    return spark.createDataFrame(rows, "model string, cv_score double, selected boolean")
 
 
 @query("random_forest_regressor", "O-94")
@@ -122,6 +188,15 @@ def q_boosted_trees(spark, sf):
     return m.transform(x).select("id", "has_high", "prediction")
 
 
+@query("boosted_trees_multiclass", "O-96")
+def q_boosted_multiclass(spark, sf):
+    """One boosted model per class of the segment; the class of the greatest share and the shares."""
+    x, p, _ = _prepared(spark, sf, "multiclass_classification")
+    gbt = ML.GBTClassifier(seed=ML.SEED, maxIter=10, maxDepth=3, subsamplingRate=0.8)
+    out = ML.fit_per_class(stored(x, "train"), p["features"], "segment", gbt).transform(x)
+    return out.select("id", "segment", "prediction", F.transform("probability", lambda s: F.round(s, 6)).alias("shares"))
+
+
 @query("multilabel_one_vs_rest", "O-97")
 def q_multilabel(spark, sf):
     x, p, spec = _prepared(spark, sf, "multilabel_classification")
@@ -228,6 +303,18 @@ def q_permutation_attribution(spark, sf):
     return permutation_shapley(model, x, "id", p["features"], n_perm=4, n_background=10)
 
 
+@query("path_attribution", "O-103")
+def q_path_attribution(spark, sf):
+    """O-103b: each feature's part of a forest's prediction along the paths that the row takes."""
+    from ..operators.ensemble import path_attribution
+
+    x, p, _ = _prepared(spark, sf, "regression")
+    x = stored(x, "prepared")
+    forest = ML.RandomForestRegressor(labelCol="mean_price", seed=ML.SEED, numTrees=20, maxDepth=5)
+    model = ML.selection_pipeline(p["features"], forest).fit(x)
+    return path_attribution(model, x, "id", p["features"])
+
+
 @query("pca_2d", "O-104")
 def q_pca(spark, sf):
     e = load(spark, sf, "embeddings")

@@ -35,6 +35,16 @@ def run_log_append(summary: DataFrame, path: str, partition_by: Sequence[str] =
     summary.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def run_log_replace(summary: DataFrame, path: str) -> None:
+    """O-06: put run summary rows into a run table so that a repeated write has the effect of one.
+
+    The table has a partition per run; the written runs' partitions are replaced and all others stay, so a retried
+    step or a repeated experiment leaves each run once. Rows must not repeat a run id.
+    """
+    writer = summary.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("experiment_id", "run_id").parquet(path)
+
+
 def run_lineage(runs: DataFrame) -> DataFrame:
     """O-25: child count per run and is_parent / is_child flags.
 
