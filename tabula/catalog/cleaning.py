@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays as A
 from ..functions import numeric as N
 from ..functions import text as T
+from ..operators import encode as E
 from ..operators.encode import coerce_numeric, numeric_feature_frame
 from ..session import load
 from .profiles import embeddings_long
@@ -260,3 +261,25 @@ def q_numeric_feature_frame(spark, sf):
         "o_orderpriority",
     )
     return numeric_feature_frame(o)
+
+
+@query(
+    "one_hot_sparse",
+    "O-72",
+    """WITH o AS (SELECT o_orderkey, o_orderpriority, CAST(o_custkey AS VARCHAR) AS cust, CAST(o_orderdate AS VARCHAR) AS day FROM orders),
+v AS (SELECT cust, row_number() OVER (ORDER BY cust) - 1 AS slot
+  FROM (SELECT DISTINCT cust FROM o WHERE o_orderpriority <> '5-LOW' AND cust IS NOT NULL)),
+d AS (SELECT day, row_number() OVER (ORDER BY day) - 1 AS slot
+  FROM (SELECT DISTINCT day FROM o WHERE o_orderpriority <> '5-LOW' AND day IS NOT NULL)),
+n AS (SELECT count(*) AS n FROM v)
+SELECT o_orderkey, CAST(v.slot AS BIGINT) AS slot, 1.0::DOUBLE AS value FROM o JOIN v USING (cust)
+UNION ALL
+SELECT o_orderkey, CAST(n.n + d.slot AS BIGINT), 1.0::DOUBLE FROM o JOIN d USING (day), n""",
+)
+def q_one_hot_sparse(spark, sf):
+    """Two columns of many values, fitted on a part of the orders and applied to all, as the vector's non-zero slots."""
+    text = [F.col("o_custkey").cast("string").alias("cust"), F.col("o_orderdate").cast("string").alias("day")]
+    o = load(spark, sf, "orders").select("o_orderkey", "o_orderpriority", *text)
+    model = E.fit_one_hot_vectors(o.where("o_orderpriority <> '5-LOW'"), ["cust", "day"])
+    out = E.one_hot_vectors(o, model).select("o_orderkey", F.explode(E.vector_slots("onehot")).alias("s"))
+    return out.select("o_orderkey", F.col("s.slot").cast("long").alias("slot"), "s.value")

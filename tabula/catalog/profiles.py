@@ -402,9 +402,28 @@ SELECT a.f AS col_a, b.f AS col_b,
 FROM l a JOIN l b USING (vec_id) GROUP BY a.f, b.f""",
 )
 def q_correlation_matrix_wide(spark, sf):
-    """65 columns (64 embedding dimensions + label): the Gramian path of O-40."""
+    """65 columns (64 embedding dimensions + label)."""
     e = load(spark, sf, "embeddings")
     cols = [f"e{i}" for i in range(64)] + ["label"]
     wide = e.select(*[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)],
                     F.col("label").cast("double").alias("label"))
     return rounded(S.correlation_long(wide, cols), ["corr"])
+
+
+@query(
+    "correlation_matrix_nulls",
+    "O-40",
+    f"""WITH l AS (SELECT vec_id, feature, 'e' || CAST(feature AS VARCHAR) AS f,
+    CASE WHEN (vec_id + feature) % 7 = 0 OR vec_id % 64 = feature THEN NULL ELSE value END AS value FROM {EMB_LONG_SQL} e
+  UNION ALL SELECT vec_id, 64, 'label', CASE WHEN vec_id % 3 = 0 THEN NULL ELSE CAST(label AS DOUBLE) END FROM embeddings)
+SELECT a.f AS col_a, b.f AS col_b,
+  {s6("CASE WHEN a.f = b.f THEN 1.0 ELSE corr(a.value, b.value) END")} AS corr
+FROM l a JOIN l b USING (vec_id) GROUP BY a.f, b.f""",
+)
+def q_correlation_matrix_nulls(spark, sf):
+    """65 columns with NULLs in other rows of each: every pair over the rows that have both."""
+    e = load(spark, sf, "embeddings")
+    gone = [((F.col("vec_id") + i) % 7 == 0) | (F.col("vec_id") % 64 == i) for i in range(64)]
+    wide = e.select(*[F.when(~gone[i], F.col("embedding")[i].cast("double")).alias(f"e{i}") for i in range(64)],
+                    F.when(F.col("vec_id") % 3 != 0, F.col("label").cast("double")).alias("label"))
+    return rounded(S.correlation_long(wide, wide.columns), ["corr"])

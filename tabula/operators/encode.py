@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,8 +19,8 @@ from ..functions.text import RARE, UNKNOWN
 from .profile import frequency_threshold, value_counts
 from .rank import exact_quantiles, row_number_by
 
-# One-hot encoding writes one column per category; a column with more distinct
-# values than this is not one-hot encodable and is refused.
+# One-hot encoding into columns writes one per category; a column with more distinct
+# values than this is refused there and goes into a sparse vector (fit_one_hot_vectors).
 MAX_CATEGORIES = 5_000
 
 
@@ -109,6 +111,43 @@ def one_hot(df: DataFrame, categories: dict[str, list], drop_original: bool = Tr
     return df.select(*keep, *new_cols)
 
 
+def fit_one_hot_vectors(train: DataFrame, cols: Sequence[str], out: str = "onehot") -> PipelineModel:
+    """O-72 without a limit of categories: a fitted pipeline that adds one sparse vector over all of ``cols``.
+
+    Slots follow the columns and in each its values in ascending order; a value that training did not have, and NULL,
+    have none (all zero). The work a row makes grows with the number of columns, not of categories, and the vector
+    goes into any estimator as it is.
+    """
+    cols = list(cols)
+    index = StringIndexer(inputCols=cols, outputCols=[f"__i_{c}" for c in cols], handleInvalid="keep", stringOrderType="alphabetAsc")
+    # the slot that "keep" adds for unknown values is the last one, which the encoder drops
+    encode = OneHotEncoder(inputCols=index.getOutputCols(), outputCols=[f"__v_{c}" for c in cols], dropLast=True)
+    join = VectorAssembler(inputCols=encode.getOutputCols(), outputCol=out)
+    return Pipeline(stages=[index, encode, join]).fit(train)
+
+
+def one_hot_vectors(df: DataFrame, model: PipelineModel, drop_original: bool = True) -> DataFrame:
+    """O-72 apply: ``df`` with the fitted sparse vector, without the encoded columns."""
+    cols = model.stages[0].getInputCols()
+    keep = [F.col(f"`{c}`") for c in df.columns if not (drop_original and c in cols)]
+    return model.transform(df).select(*keep, model.stages[-1].getOutputCol())
+
+
+def vector_slots(vector: str) -> Column:
+    """The non-zero (slot, value) pairs of a vector column, as an array; a sparse vector is not widened."""
+    # a vector's only public form as columns is its JSON: (type, size, indices, values)
+    parts = F.from_json(F.to_json(F.struct(F.col(vector).alias("v"))), "v struct<type:int,size:int,indices:array<int>,values:array<double>>")["v"]
+    slots = F.coalesce(parts["indices"], F.sequence(F.lit(0), F.size(parts["values"]) - 1))
+    pairs = F.zip_with(slots, parts["values"], lambda i, x: F.struct(i.alias("slot"), x.alias("value")))
+    return F.filter(pairs, lambda p: p["value"] != 0)
+
+
+def one_hot_slots(model: PipelineModel) -> list[tuple[str, str]]:
+    """(column, value) of every slot of the fitted vector."""
+    index = model.stages[0]
+    return [(c, v) for c, values in zip(index.getInputCols(), index.labelsArray) for v in values]
+
+
 def get_dummies(df: DataFrame, categories: dict[str, list], drop_first: bool = False, prefix_sep: str = "_") -> DataFrame:
     """O-73: boolean dummy per value with a prefix; NULL → all false; optional drop-first."""
     new_cols: list[Column] = []

@@ -7,13 +7,15 @@ an order is needed (KS, quantile edges) it comes from the skew-safe ranks.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import kolmogorov_p, normal_cdf
+from ..session import stored
 from .profile import melt
 from .rank import exact_quantiles, ks_normal_stats, row_number_by
 
@@ -139,57 +141,62 @@ def ks_normal(df: DataFrame, id_col: str, cols: Sequence[str]) -> DataFrame:
 
 
 # --------------------------------------------------------------- correlation
-# Above this many columns the pairwise aggregates are replaced (see correlation_long).
-WIDE_CORRELATION = 64
-PAIR_CHUNK = 1_000
-
-
-def _pairwise_corr(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson for i < j, as long (col_a, col_b, corr); chunks of PAIR_CHUNK aggregates."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    out = None
-    for k in range(0, len(pairs), PAIR_CHUNK):
-        chunk = pairs[k:k + PAIR_CHUNK]
-        names = [f"__p{k + i}" for i in range(len(chunk))]
-        wide = df.agg(*[F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias(n)
-                        for (a, b), n in zip(chunk, names)])
-        lut = F.create_map(*[x for (a, b), n in zip(chunk, names) for x in (F.lit(n), F.array(F.lit(a), F.lit(b)))])
-        part = wide.unpivot([], names, "__pair", "corr").select(
-            F.element_at(lut, F.col("__pair"))[0].alias("col_a"), F.element_at(lut, F.col("__pair"))[1].alias("col_b"), "corr"
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+def pair_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(i, j, n, sx, sy, sxx, syy, sxy) for i < j: moments of the rows in which columns i and j are both present.
+
+    Tasks add up masked Gramians (0 where a value is missing) and emit their upper triangles once, so the shuffle is
+    tasks x columns² numbers whatever the number of rows. Values are taken from the column's mean, so that sums of
+    squares of far-off columns don't cancel. A task holds six times columns² doubles.
+    """
+    cols = list(cols)
+    x = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    means = x.agg(*[F.avg(c).alias(c) for c in x.columns]).first()
+    shift = np.array([0.0 if m is None or m != m else m for m in means])
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        d = len(shift)
+        n, sx, sxx, sxy = (np.zeros((d, d)) for _ in range(4))
+        for pdf in batches:
+            v = pdf.to_numpy(dtype=float) - shift
+            there = ~np.isnan(v)
+            v, m = np.where(there, v, 0.0), there.astype(float)
+            n += m.T @ m
+            sx += v.T @ m
+            sxx += (v * v).T @ m
+            sxy += v.T @ v
+        for i in range(d - 1):
+            k = slice(i + 1, d)
+            yield pd.DataFrame({
+                "i": i, "j": np.arange(i + 1, d), "n": n[i, k], "sx": sx[i, k], "sy": sx[k, i], "sxx": sxx[i, k], "syy": sxx[k, i], "sxy": sxy[i, k],
+            })
+
+    names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+    each = x.mapInPandas(sums, "i int, j int, " + ", ".join(f"{c} double" for c in names))
+    return each.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in names])
 
 
 def correlation_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """O-40: pairwise-complete Pearson matrix in long form (col_a, col_b, corr).
+    """O-40: pairwise-complete Pearson matrix in long form (col_a, col_b, corr), any width, with or without NULLs.
 
-    Up to ``WIDE_CORRELATION`` columns: one aggregation of all pair correlations
-    (mergeable co-moments). Wider tables: when no column has a NULL, one
-    ``ml.stat.Correlation`` pass (a distributed d×d Gramian, identical to
-    pairwise-complete without NULLs); otherwise the pair aggregates in chunks.
-    Columns with a non-finite correlation anywhere are removed, as in the reference.
+    One pass of ``pair_moments``. A pair without variance in one of its columns (up to rounding: 1e-13 of the sum of
+    squares) has no correlation. Columns with a non-finite correlation anywhere are removed, as in the reference.
     """
     cols = list(cols)
     spark = df.sparkSession
     if len(cols) < 2:
         return spark.createDataFrame([], "col_a string, col_b string, corr double")
-    upper = None
-    if len(cols) > WIDE_CORRELATION:
-        nulls = df.agg(*[F.sum(F.col(f"`{c}`").isNull().cast("long")).alias(c) for c in cols]).first()
-        if all((nulls[c] or 0) == 0 for c in cols):
-            from pyspark.ml.stat import Correlation
-
-            from ..operators.model import assemble
-
-            v = assemble(cols, "__vec").transform(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols]))
-            m = Correlation.corr(v, "__vec").first()[0].toArray()  # d×d, bounded by the column count
-            upper = spark.createDataFrame(
-                [(a, b, float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j],
-                "col_a string, col_b string, corr double",
-            )
-    if upper is None:
-        upper = _pairwise_corr(df, cols)
+
+    def spread(sq: str, s: str) -> Column:
+        v = F.col("n") * F.col(sq) - F.col(s) * F.col(s)
+        return F.when(v > F.lit(1e-13) * F.col("n") * F.col(sq), v)
+
+    names = F.array(*[F.lit(c) for c in cols])
+    cov = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
+    corr = cov / F.sqrt(spread("sxx", "sx")) / F.sqrt(spread("syy", "sy"))
+    upper = stored(pair_moments(df, cols).select(
+        F.element_at(names, F.col("i") + 1).alias("col_a"), F.element_at(names, F.col("j") + 1).alias("col_b"),
+        F.when(corr > 1, 1.0).when(corr < -1, -1.0).otherwise(corr).alias("corr"),
+    ), "correlation")
     sym = upper.unionByName(upper.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr"))
     diag = spark.createDataFrame([(c, c, 1.0) for c in cols], "col_a string, col_b string, corr double")
     full = sym.unionByName(diag)
