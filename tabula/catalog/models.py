@@ -272,6 +272,35 @@ def q_batch_score_targets(spark, sf):
     return batch_score_targets(df, params, spec, models, "outcome")
 
 
+@query(
+    "batch_score_unfitted",
+    "O-102",
+    """WITH b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS price,
+    CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderpriority END AS priority FROM orders),
+m AS (SELECT quantile_cont(price, 0.5) AS med FROM b),
+r AS (SELECT regr_slope(o_custkey, o_totalprice) AS slope, regr_intercept(o_custkey, o_totalprice) AS cut FROM orders)
+SELECT o_orderkey, round(coalesce(price, med), 4) + 0.0 AS price,
+  CAST(coalesce(priority, 'unknown') = '1-URGENT' AS DOUBLE) AS urgent,
+  CAST(priority IS NULL AS DOUBLE) AS unknown, 0.0::DOUBLE AS absent,
+  round(cut + slope * coalesce(price, med), 4) + 0.0 AS outcome_prediction FROM b, m, r""",
+)
+def q_batch_score_unfitted(spark, sf):
+    """A batch scored without a stored run: medians and categories are the batch's own, absent features are 0."""
+    from ..plans.scoring import batch_score_unfitted
+
+    o = load(spark, sf, "orders")
+    train = o.select(F.col("o_totalprice").alias("price"), F.col("o_custkey").cast("double").alias("label"),
+                     *[F.lit(0.0).alias(c) for c in ("priority_1-URGENT", "priority_unknown", "absent")])
+    features = ["price", "priority_1-URGENT", "priority_unknown", "absent"]
+    model = ML.selection_pipeline(features, ML.LinearRegression(solver="normal", regParam=0.0)).fit(train)
+    batch = o.select("o_orderkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice")).alias("price"),
+                     F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority")).alias("priority"))
+    out = batch_score_unfitted(batch, "o_orderkey", features, model, "outcome")
+    return out.select("o_orderkey", (F.round("price", 4) + 0.0).alias("price"), F.col("`priority_1-URGENT`").alias("urgent"),
+                      F.col("priority_unknown").alias("unknown"), "absent",
+                      (F.round("outcome_prediction", 4) + 0.0).alias("outcome_prediction"))
+
+
 @query(
     "linear_attribution",
     "O-103",

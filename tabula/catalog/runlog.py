@@ -119,6 +119,33 @@ def q_map_flatten(spark, sf):
     return RL.map_flatten(runs_table(spark, sf))
 
 
+@query(
+    "map_entries",
+    "O-80",
+    f"""WITH r AS (SELECT * FROM {RUNS_SQL} x), e AS (
+  SELECT run_id, 'metric' AS kind, 'cv' AS key, m_cv AS number, NULL::VARCHAR AS text FROM r
+  UNION ALL SELECT run_id, 'metric', 'k', m_k, NULL FROM r
+  UNION ALL SELECT run_id, 'metric', 'score', m_score, NULL FROM r
+  UNION ALL SELECT run_id, 'param', 'model', NULL, p_model FROM r
+  UNION ALL SELECT run_id, 'param', 'skipped', NULL, p_skipped FROM r
+  UNION ALL SELECT run_id, 'tag', 'strategy', NULL, t_strategy FROM r)
+SELECT * FROM e WHERE number IS NOT NULL OR text IS NOT NULL""",
+)
+def q_map_entries(spark, sf):
+    """Every entry of every run's maps as a row: no list of keys, no limit on them."""
+    return RL.map_entries(runs_table(spark, sf))
+
+
+@query(
+    "map_columns",
+    "O-80",
+    f"""SELECT run_id, m_score AS "metric.score", p_model AS "param.model", NULL::VARCHAR AS "tag.nowhere" FROM {RUNS_SQL} r""",
+)
+def q_map_columns(spark, sf):
+    """The wanted entries as columns, one of which no run has."""
+    return RL.map_columns(runs_table(spark, sf), ["metric.score", "param.model", "tag.nowhere"])
+
+
 @query(
     "best_run",
     "O-58",

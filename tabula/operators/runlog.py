@@ -89,6 +89,38 @@ def map_flatten(runs: DataFrame, base: Sequence[str] = ("run_id",)) -> DataFrame
     return runs.select(*cols)
 
 
+def map_entries(runs: DataFrame, base: Sequence[str] = ("run_id",)) -> DataFrame:
+    """O-80 in long form: (base..., kind, key, number, text) with a row per entry of the metrics (number), params and
+    tags (text) maps.
+
+    A narrow explode without a list of keys, so any number of keys is fine. Runs without entries, and NULL maps, have
+    no rows; a NULL value stays a row.
+    """
+    item = "struct<kind:string,key:string,number:double,text:string>"
+
+    def entries(m: str, kind: str) -> Column:
+        number = kind == "metric"
+        each = F.transform(F.map_entries(m), lambda e: F.struct(
+            F.lit(kind), e["key"], e["value"] if number else F.lit(None), F.lit(None) if number else e["value"]
+        ).cast(item))
+        return F.coalesce(each, F.array().cast(f"array<{item}>"))
+
+    kinds = [(m, k) for m, k in (("metrics", "metric"), ("params", "param"), ("tags", "tag")) if m in runs.columns]
+    found = F.explode(F.concat(*[entries(m, k) for m, k in kinds]))
+    return runs.select(*base, found.alias("e")).select(*base, "e.*")
+
+
+def map_columns(runs: DataFrame, wanted: Sequence[str], base: Sequence[str] = ("run_id",)) -> DataFrame:
+    """O-80 for the columns that are wanted: ``metric.k``, ``param.k`` and ``tag.k`` by name, NULL where a run lacks
+    the key. One projection; no keys are read beforehand."""
+    maps = {"metric": "metrics", "param": "params", "tag": "tags"}
+    cols = []
+    for name in wanted:
+        kind, key = name.split(".", 1)
+        cols.append(F.element_at(F.col(maps[kind]), F.lit(key)).alias(name))
+    return runs.select(*base, *cols)
+
+
 def best_run(runs: DataFrame, metric_priority: Sequence[str], with_model: DataFrame | None = None,
              keys: Sequence[str] = ()) -> DataFrame:
     """O-58: best run by the first present metric in priority order (−inf if none).

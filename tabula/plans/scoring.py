@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.encode import fit_categories, fit_medians, impute, one_hot
+from ..operators.relational import align_features, categorical_columns, numeric_columns
 from ..operators.runlog import best_run, run_log_append, run_log_scan
 from ..operators.split import sample_n
 from ..sources.files import fitted_sink, fitted_source, model_load, model_save
@@ -66,6 +68,32 @@ def batch_score_targets(new: DataFrame, params: dict, spec: PrepSpec, models: Se
     return x.select(spec.id_col, *made)
 
 
+def prepare_batch(new: DataFrame, id_col: str, carry: Sequence[str] = ()) -> DataFrame:
+    """O-102 without a stored run: imputation and encoding fitted on the batch itself.
+
+    Numeric NULLs become the batch's median, text and boolean NULLs ``unknown``; every category of the batch becomes a
+    0/1 column ``<column>_<value>``. No clipping, centring or scaling, as nothing was fitted for it. ``id_col`` and
+    ``carry`` stay as they are. A numeric column that is all NULL stays NULL; an empty batch gives no rows (and no
+    category columns).
+    """
+    kept = [id_col, *carry]
+    cat = [c for c in categorical_columns(new) if c not in kept]
+    num = [c for c in numeric_columns(new) if c not in kept]
+    medians = {r["column"]: r["median"] for r in fit_medians(new, num, id_col).collect()} if num else {}
+    filled = impute(new, {c: medians.get(c) for c in num}, cat)
+    return one_hot(filled, fit_categories(filled, cat)) if cat else filled
+
+
+def batch_score_unfitted(new: DataFrame, id_col: str, features: Sequence[str], model, experiment: str,
+                         carry: Sequence[str] = ()) -> DataFrame:
+    """O-102 without a stored run: the prepared batch in the model's feature order (features that the batch does not
+    give are 0) and ``<experiment>_prediction``."""
+    ready = prepare_batch(new, id_col, carry)
+    x = align_features(ready, [id_col, *carry, *features], strict=True)
+    pred = model.transform(x)
+    return pred.select(id_col, *carry, *[F.col(f"`{c}`") for c in features], F.col("prediction").alias(f"{experiment}_prediction"))
+
+
 def permutation_shapley(model, x: DataFrame, id_col: str, features: Sequence[str], n_perm: int = 8,
                         n_background: int = 20, seed: int = 42) -> DataFrame:
     """O-103b: sampled permutation Shapley values per (row, feature).

@@ -87,3 +87,57 @@ def test_permutation_importance(spark, task):
     again = {r["feature"]: r["importance"] for r in permutation_importance(model, df, "id", ["a", "b", "c"], "y", task=task).collect()}
     assert again == {f: pytest.approx(r["importance"]) for f, r in got.items()}
     assert permutation_importance(model, df.limit(0), "id", ["a", "b", "c"], "y", task=task).count() == 0
+
+
+def ols(spark, features):
+    rows = [tuple(float((i * (j + 3)) % 11) for j in range(len(features))) + (float(i % 11) * 2 + 1,) for i in range(40)]
+    train = spark.createDataFrame(rows, ", ".join(f"`{f}` double" for f in features) + ", y double")
+    return ML.selection_pipeline(features, LinearRegression(labelCol="y", solver="normal", regParam=0.1)).fit(train)
+
+
+BATCH = "id long, n double, cat string, flag boolean, none double"
+
+
+def test_scoring_without_a_run_fits_on_the_batch(spark):
+    from tabula.plans.scoring import batch_score_unfitted, prepare_batch
+
+    rows = [(1, 1.0, "a", True, None), (2, None, None, None, None), (3, 4.0, "b", False, None), (3, 10.0, "a", True, None), (None, None, "a", None, None)]
+    batch = spark.createDataFrame(rows, BATCH)
+    ready = prepare_batch(batch, "id").collect()
+    assert [(r["n"], r["cat_a"], r["cat_unknown"], r["flag_True"], r["flag_unknown"], r["none"]) for r in ready] == [
+        (1.0, 1.0, 0.0, 1.0, 0.0, None), (4.0, 0.0, 1.0, 0.0, 1.0, None), (4.0, 0.0, 0.0, 0.0, 0.0, None),
+        (10.0, 1.0, 0.0, 1.0, 0.0, None), (4.0, 1.0, 0.0, 0.0, 1.0, None),
+    ]
+    model = ols(spark, ["n", "cat_a", "cat_z"])
+    out = batch_score_unfitted(batch, "id", ["n", "cat_a", "cat_z"], model, "e").collect()
+    want = model.transform(spark.createDataFrame([(r["n"], r["cat_a"], 0.0) for r in ready], "n double, cat_a double, cat_z double"))
+    assert [r["e_prediction"] for r in out] == pytest.approx([r["prediction"] for r in want.collect()])
+    assert batch_score_unfitted(batch.limit(0), "id", ["n", "cat_a", "cat_z"], model, "e").count() == 0
+
+
+def test_stream_without_a_run_fits_on_each_epoch(spark, tmp_path):
+    from tabula.streaming.scoring import read_scores, score_stream_unfitted
+
+    src = str(tmp_path / "in")
+    spark.createDataFrame([(1, 2.0, "a", True, 0.0), (2, None, "a", None, 0.0)], BATCH).coalesce(1).write.parquet(src)
+    spark.createDataFrame([(3, 8.0, "b", True, 0.0), (4, None, "a", None, 0.0)], BATCH).coalesce(1).write.mode("append").parquet(src)
+    model = ols(spark, ["n", "cat_a"])
+    stream = spark.readStream.schema(BATCH).option("maxFilesPerTrigger", 1).parquet(src)
+    score_stream_unfitted(stream, "id", ["n", "cat_a"], model, "e", str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination()
+    got = {r["id"]: r["n"] for r in read_scores(spark, str(tmp_path / "out")).collect()}
+    assert got == {1: 2.0, 2: 2.0, 3: 8.0, 4: 8.0}  # each epoch's own median
+
+
+def test_map_entries_of_odd_maps(spark):
+    from tabula.operators.runlog import map_columns, map_entries
+
+    rows = [("a", {"m": 1.5, "nothing": None}, {"p": "x"}), ("b", None, {}), ("c", {f"k{i}": float(i) for i in range(20_000)}, None)]
+    runs = spark.createDataFrame(rows, "run_id string, metrics map<string,double>, params map<string,string>")
+    got = map_entries(runs)
+    assert {tuple(r) for r in got.where("run_id <> 'c'").collect()} == {
+        ("a", "metric", "m", 1.5, None), ("a", "metric", "nothing", None, None), ("a", "param", "p", None, "x"),
+    }
+    assert got.where("run_id = 'c'").count() == 20_000
+    assert [tuple(r) for r in map_columns(runs, ["metric.k7", "param.p"]).orderBy("run_id").collect()] == [
+        ("a", None, "x"), ("b", None, None), ("c", 7.0, None),
+    ]
