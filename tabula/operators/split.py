@@ -31,7 +31,7 @@ def cohort_list(df: DataFrame, cohort: str, max_cohorts: int = MAX_COHORTS) -> l
     if len(cohorts) > max_cohorts:
         raise ValueError(f"more than {max_cohorts} cohorts in {cohort}; not a cohort column")
     if len(cohorts) < 2:
-        raise ValueError("Leave-one-cohort-out needs at least two distinct cohorts.")
+        raise ValueError(f"column {cohort} has {len(cohorts)} cohort(s): holding one out would leave no row to fit on")
     return cohorts
 
 

@@ -7,12 +7,15 @@ the only driver-side values are the final text lines.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import QC_POSITIVE_TOKENS
 from ..operators.profile import boolean_candidates, cardinality_profile, duplicate_count, iqr_profile, null_profile
 from ..operators.relational import categorical_columns, numeric_columns
+from .preprocess import PrepSpec
 
 # Recommendation texts of the quality report ({} = filled in).
 HEADER = "Recommended preprocessing strategy based on QC:"
@@ -107,3 +110,17 @@ def qc_flags(df: DataFrame, id_col: str, tokens=QC_POSITIVE_TOKENS) -> dict:
         "outlier_columns": sorted(outl, key=order.get),
         "high_cardinality_columns": sorted(high, key=order.get),
     }
+
+
+def spec_from_qc(df: DataFrame, id_col: str, cohort_col: str, targets: Sequence[str], task: str = "regression",
+                 signal_cols: Sequence[str] = (), seq_col: str | None = None, tokens=QC_POSITIVE_TOKENS) -> PrepSpec:
+    """The preprocessing settings that quality control finds on ``df``: whether first rows per id are to be taken (in
+    the order of ``seq_col``, without which a fit on repeated ids is refused), and the columns to cast to boolean, to clip
+    and to group rare values of. Id, cohort and targets are never among them."""
+    flags = qc_flags(df, id_col, tokens)
+    own = {id_col, cohort_col, *targets}
+    cols = {k: [c for c in flags[k] if c not in own] for k in ("boolean_cast_columns", "outlier_columns", "high_cardinality_columns")}
+    return PrepSpec(
+        id_col=id_col, cohort_col=cohort_col, targets=list(targets), signal_cols=list(signal_cols),
+        has_duplicates=flags["has_duplicates"], seq_col=seq_col, task=task, **cols,
+    )

@@ -141,3 +141,20 @@ def test_map_entries_of_odd_maps(spark):
     assert [tuple(r) for r in map_columns(runs, ["metric.k7", "param.p"]).orderBy("run_id").collect()] == [
         ("a", None, "x"), ("b", None, None), ("c", 7.0, None),
     ]
+
+
+def test_quality_control_sets_preprocessing(spark):
+    from tabula.plans.preprocess import apply_preprocess, fit_preprocess
+    from tabula.plans.qc import spec_from_qc
+
+    rows = [(i % 45, f"c{i % 2}", float(i % 7) if i else 1e6, "Yes" if i % 3 else "no", f"v{i % 30}", float(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, cohort string, n double, seen string, many string, y double")
+    got = spec_from_qc(df, "id", "cohort", ["y"], seq_col="y")
+    assert (got.has_duplicates, got.boolean_cast_columns, got.outlier_columns, got.high_cardinality_columns) == (
+        True, ["seen"], ["n"], ["many"],
+    )
+    params = fit_preprocess(df, got)
+    assert list(params["clip"]) == ["n"] and list(params["rare"]) == ["many"]
+    assert apply_preprocess(df, params, got, is_train=True).count() == 45
+    none = spec_from_qc(df.select("id", "cohort", "y").dropDuplicates(["id"]), "id", "cohort", ["y"])
+    assert (none.has_duplicates, none.boolean_cast_columns, none.outlier_columns, none.high_cardinality_columns) == (False, [], [], [])
