@@ -13,15 +13,20 @@ shared by many documents rarely serves as a key. A document takes part in its ow
 be that large, in the next one.
 
 Decisions. Rows of a key are ordered, not gathered: each document is paired with the first and the previous one
-of its key. Equal sets are one document before that. For each document the pair that shares most keys is verified
-first, then the other neighbours; pairs within one component need no verification. What remains, pairs across components that share a key, is
-compared by sketch in blocks of a key's documents, and only pairs within the bound leave the task and are verified;
-so no link between components is lost, and no pairs of a key are listed. A pair is verified by its size bound, then the Hamming
-distance of band-sized sketches (folded to the smaller), then the exact intersection of the shingle sets.
-
-Cases: null, empty and blank texts have no shingles and no links; rows that repeat a doc_id are one document,
-linked where any of its texts is; a null doc_id has no component; an empty table gives no rows; only doc_id
-and text are read.
+of its key. A key of a chunk whose rarest shingle is common is cut into parts by the documents' hashes, each ordered by
+itself, and the parts' first documents are ordered once more, so no task holds a whole common key. Equal sets are one
+document before that. For each document the pair that shares most keys is verified first, then the other neighbours;
+pairs within one component need no verification. What remains, pairs across components that share a key, is compared
+by sketch in blocks of a key's documents, twice: first each document of a block proposes its closest one of another
+component; then, with the components that these links leave, the documents that still have a partner within
+the bound meet with their shingle sets, and a block's exact links leave the task as a forest of its components. So no
+link between components is lost, and what a task emits is at most a row for each row it reads. A pair
+is verified by its size bound, then the Hamming distance of band-sized sketches (folded to the smaller), then the exact
+intersection of the shingle sets.
+
+Cases: null, empty and blank texts have no shingles and no links; rows that repeat a doc_id are one document with one
+component, linked where any of its texts is (blank rows of a linked document included); a null doc_id has no component and
+links no others; an empty table gives no rows; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -42,6 +47,10 @@ from .shingles import BASE, WORDS, mix64, shingle_sets
 COUNTERS, SLICES = 1 << 18, 16
 #: Sets of a key that one task compares with as many others.
 BLOCK_ROWS = 1024
+#: Shingles of the sets that one task compares exactly with as many others.
+BLOCK_SHINGLES = 1 << 19
+#: Columns of a block's incidence matrix that are multiplied at once.
+MATRIX_COLUMNS = 4096
 #: Up to this many documents of candidate pairs are marked by a broadcast list, more by a shuffle join.
 BROADCAST_IDS = 1_000_000
 #: Stands for a null doc_id where pandas would turn longs to doubles.
@@ -128,8 +137,11 @@ def _summed(profile: DataFrame) -> np.ndarray:
     return out
 
 
-def _leading(u: np.ndarray, hashed: np.ndarray, hot: np.ndarray, band: int) -> np.ndarray:
-    """Names of the first D + 1 chunks of a set in a band; ``u`` is sorted, so chunk numbers ascend."""
+def _leading(
+    u: np.ndarray, hashed: np.ndarray, hot: np.ndarray, counts: np.ndarray, sets: int, band: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Names of the first D + 1 chunks of a set in a band, and the most sets that can share each: the least counter of
+    the chunk's shingles, or all ``sets`` for an empty one. ``u`` is sorted, so chunk numbers ascend."""
     a, m = len(u), _chunks(band)
     need = (a + min(_partners(a), (2 << band) - 1)) // 7 + 1
     chunk = ((u >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
@@ -140,19 +152,26 @@ def _leading(u: np.ndarray, hashed: np.ndarray, hot: np.ndarray, band: int) -> n
     rank |= ((np.uint64(7) - weight) << np.uint64(55)) | (inside >> np.uint64(9))
     place = chunk + np.uint64(band << 40)
     name = mix64(inside ^ (place[at] * np.uint64(BASE)))
+    most = np.minimum.reduceat(counts, at)
     if need < len(name):
-        return name[np.argpartition(rank, need - 1)[:need]]
+        taken = np.argpartition(rank, need - 1)[:need]
+        return name[taken], most[taken]
     # the empty chunks come last in the order, by number
     empty = np.setdiff1d(np.arange(m, dtype=np.uint64), chunk[at])[: need - len(name)]
-    return np.concatenate([name, mix64((empty + np.uint64((band << 40) + (1 << 60))) * np.uint64(BASE))])
+    blank = mix64((empty + np.uint64((band << 40) + (1 << 60))) * np.uint64(BASE))
+    return np.concatenate([name, blank]), np.concatenate([most, np.full(len(blank), sets)])
 
 
-def _keys(words: int, common):
-    """(sig, sid) of the leading chunks of every distinct set of the task. ``common``: broadcast counters."""
+def _keys(words: int, common, sets: int):
+    """(sig, part, sid) of the leading chunks of every distinct set of the task. ``common``: broadcast counters. A key
+    that more than BLOCK_ROWS sets may share has parts by the sets' names; others have the part -1."""
 
-    def rows(sigs: list, sids: list) -> pd.DataFrame:
-        names = np.repeat(np.array(sids, dtype=np.int64), [len(x) for x in sigs])
-        return pd.DataFrame({"sig": np.concatenate(sigs).astype(np.int64), "sid": names})
+    def rows(found: list, sids: list) -> pd.DataFrame:
+        names = np.repeat(np.array(sids, dtype=np.int64), [len(x) for x, _ in found])
+        parts = -(-np.concatenate([m for _, m in found]) // BLOCK_ROWS)
+        part = np.where(parts > 1, (names & 0x7FFFFFFF) % np.maximum(parts, 1), -1)
+        sigs = np.concatenate([x for x, _ in found]).astype(np.int64)
+        return pd.DataFrame({"sig": sigs, "part": part.astype(np.int32), "sid": names})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = common.value
@@ -167,9 +186,10 @@ def _keys(words: int, common):
                     continue
                 if len(seen) < 1 << 20:  # only spares rows: copies in other tasks meet in the shuffle
                     seen.add(sid)
-                hashed, hot = mix64(u ^ SEED), heat[_slot(u)]
+                slot = _slot(u)
+                hashed, hot, many = mix64(u ^ SEED), heat[slot], counts[slot]
                 for band in range(_band(len(u)), _band(_partners(len(u))) + 1):
-                    sigs.append(_leading(u, hashed, hot, band))
+                    sigs.append(_leading(u, hashed, hot, many, sets, band))
                     sids.append(sid)
                 if len(sigs) >= 1000:
                     yield rows(sigs, sids)
@@ -208,34 +228,123 @@ def _folded(sketches: list[bytes]) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def _close(g: pd.DataFrame) -> pd.DataFrame | None:
-    """Pairs of two blocks of a key's sets, of different components, within the bound by size and sketch."""
+def _close(g: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of two blocks of a key's sets (row numbers of ``g``), of different components, within the bound by size and
+    sketch, and how much of both sets differs by sketch."""
     bx, by = g["bx"].iloc[0], g["by"].iloc[0]
     blk = g["blk"].to_numpy()
     x, y = np.flatnonzero(blk == bx), np.flatnonzero(blk == by)
-    if not len(x) or not len(y):
-        return None
-    n, comp, sid, sk = g["n"].to_numpy(), g["comp"].to_numpy(), g["sid"].to_numpy(), _folded(g["sketch"].tolist())
-    step, out = max(1, (1 << 21) // (len(y) * sk.shape[1])), []
-    for at in range(0, len(x), step):
-        i = x[at : at + step]
-        total = n[i][:, None] + n[y][None, :]
-        ok = (comp[i][:, None] != comp[y][None, :]) & (7 * np.minimum(n[i][:, None], n[y][None, :]) >= 3 * total)
-        if bx == by:
-            ok &= sid[i][:, None] < sid[y][None, :]
-        p, q = np.nonzero(ok)
-        if len(p):
-            near = np.bitwise_count(sk[i[p]] ^ sk[y[q]]).sum(axis=1, dtype=np.int64) <= total[p, q] // 7
-            out.append(np.stack([sid[i[p[near]]], sid[y[q[near]]]], axis=1))
-    pairs = np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
-    return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)}) if len(pairs) else None
+    out = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))]
+    if len(x) and len(y):
+        n, comp, sid, sk = g["n"].to_numpy(), g["comp"].to_numpy(), g["sid"].to_numpy(), _folded(g["sketch"].tolist())
+        step = max(1, (1 << 21) // (len(y) * sk.shape[1]))
+        for at in range(0, len(x), step):
+            i = x[at : at + step]
+            total = n[i][:, None] + n[y][None, :]
+            ok = (comp[i][:, None] != comp[y][None, :]) & (7 * np.minimum(n[i][:, None], n[y][None, :]) >= 3 * total)
+            if bx == by:
+                ok &= sid[i][:, None] < sid[y][None, :]
+            p, q = np.nonzero(ok)
+            if len(p):
+                apart = np.bitwise_count(sk[i[p]] ^ sk[y[q]]).sum(axis=1, dtype=np.int64)
+                near = apart <= total[p, q] // 7
+                out.append((i[p[near]], y[q[near]], apart[near] / total[p[near], q[near]]))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def _nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For each set of a block with close ones of other components the closest: at most a row for each row read."""
+    for groups in whole_groups(batches, ["sig", "bx", "by"]):
+        found = []
+        for g in groups:
+            i, j, apart = _close(g)
+            if len(i):
+                one, other, apart = np.r_[i, j], np.r_[j, i], np.r_[apart, apart]
+                order = np.lexsort([other, apart, one])
+                best = order[np.r_[True, np.diff(one[order]) != 0]]
+                sid = g["sid"].to_numpy()
+                found.append(np.stack([sid[one[best]], sid[other[best]]], axis=1))
+        if found:
+            pairs = np.concatenate(found)
+            yield pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)}).drop_duplicates()
 
 
-def _close_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _doubtful(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of sets that have a close one of another component in their block."""
     for groups in whole_groups(batches, ["sig", "bx", "by"]):
-        found = [x for x in map(_close, groups) if x is not None]
+        found = [g.iloc[np.unique(np.r_[i, j])] for g in groups for i, j, _ in [_close(g)] if len(i)]
         if found:
-            yield pd.concat(found).drop_duplicates()
+            yield pd.concat(found).drop(columns="sketch")
+
+
+def _in_common(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets ``x`` with sets ``y``, by products of slices of their incidence matrix."""
+    of = np.repeat(np.arange(len(sets)), [len(u) for u in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1
+    width = int(shared.sum())
+    place = np.cumsum(shared) - 1
+    used = shared[column]
+    of, column = of[used], place[column[used]]
+    order = np.argsort(column, kind="stable")
+    of, column = of[order], column[order]
+    out = np.zeros((len(x), len(y)), dtype=np.int64)
+    for at in range(0, width, MATRIX_COLUMNS):
+        lo, hi = np.searchsorted(column, [at, at + MATRIX_COLUMNS])
+        has = np.zeros((len(sets), min(MATRIX_COLUMNS, width - at)), dtype=np.float32)
+        has[of[lo:hi], column[lo:hi] - at] = 1
+        out += (has[x] @ has[y].T).astype(np.int64)
+    return out
+
+
+def _forest(percent: int):
+    """Exact links of two parts of a block, as pairs (a, b) of components that span the components they join."""
+
+    def one(g: pd.DataFrame) -> list[tuple[int, int]]:
+        sub, blk, comp, n = (g[c].to_numpy() for c in ("sub", "blk", "comp", "n"))
+        x, y = np.flatnonzero(sub == g["sx"].iloc[0]), np.flatnonzero(sub == g["sy"].iloc[0])
+        if not len(x) or not len(y):
+            return []
+        both = _in_common([np.frombuffer(u, dtype=np.uint64) for u in g["shingles"]], x, y)
+        ok = (comp[x][:, None] != comp[y][None, :]) & (both > 0)
+        if g["bx"].iloc[0] != g["by"].iloc[0]:
+            ok &= blk[x][:, None] != blk[y][None, :]
+        ok &= 100 * both >= percent * (n[x][:, None] + n[y][None, :] - both)
+        p, q = np.nonzero(ok)
+        low: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while low.get(c, c) != c:
+                low[c] = low.get(low[c], low[c])
+                c = low[c]
+            return c
+
+        out = []
+        for a, b in np.unique(np.stack([comp[x[p]], comp[y[q]]], axis=1), axis=0).tolist():
+            ra, rb = root(a), root(b)
+            if ra != rb:
+                low[max(ra, rb)] = min(ra, rb)
+                out.append((a, b))
+        return out
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for groups in whole_groups(batches, ["sig", "bx", "by", "sx", "sy"]):
+            found = [e for g in groups for e in one(g)]
+            if found:
+                yield pd.DataFrame(found, columns=["a", "b"]).drop_duplicates()
+
+    return run
+
+
+def _hashes(words: int):
+    """(sid, shingles): the set of every text as the bytes of its sorted hashes."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            sets = [u for u in shingle_sets(pdf["text"], words) if len(u)]
+            yield pd.DataFrame({"sid": [_set_name(u) for u in sets], "shingles": [u.tobytes() for u in sets]})
+
+    return run
 
 
 def _verify(words: int, percent: int):
@@ -270,17 +379,78 @@ class _Join:
             "jaccard-sets",
         )
         self.counts = _summed(raw)
+        # documents with several texts
+        several = self.profile.where("doc_id is not null").groupBy("doc_id").agg(
+            F.min("sid").alias("lo"), F.max("sid").alias("hi"), F.count(F.lit(1)).alias("k")
+        ).where("k > 1")
+        self.repeated = keep(several.select("doc_id", (F.col("lo") != F.col("hi")).alias("differ")), "jaccard-repeated")
+        self.any_repeated = not self.repeated.isEmpty()
+        self.texts = self.docs.dropDuplicates(["doc_id", "text"]) if self.any_repeated else self.docs
+
+    def same_document(self) -> DataFrame:
+        """Links (a, b) of the sets that a repeated doc_id has: the doc_id and the smallest one of each set."""
+        own = self.profile.where("n > 0").join(self.repeated.where("differ").select("doc_id"), "doc_id")
+        own = own.select("doc_id", "sid").join(self.sets.select("sid", "rep"), "sid")
+        return own.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct()
 
     def keyed(self) -> DataFrame:
-        """Rows (sig, sid, first, prev, at) of the keys that more than one set has."""
+        """Rows (sig, sid, first, prev, cut) of the keys that more than one set has; cut: the key has parts."""
         spark = self.docs.sparkSession
         common = spark.sparkContext.broadcast(self.counts)
         # sets are named again from the texts, so the texts need not be joined to the profile
-        named = self.docs.where("text is not null").select("text").mapInPandas(_keys(self.words, common), "sig long, sid long")
-        by = Window.partitionBy("sig").orderBy("sid")
-        rows = named.select("sig", "sid", F.lag("sid").over(by).alias("prev"), F.first("sid").over(by).alias("first"))
-        rows = rows.where("prev is not null and prev <> sid")
-        return keep(rows, "jaccard-keys")
+        named = self.docs.where("text is not null and doc_id is not null").select("text")
+        named = named.mapInPandas(_keys(self.words, common, self.sets.count()), "sig long, part int, sid long")
+
+        def neighbours(rows: DataFrame, *key: str) -> DataFrame:
+            by = Window.partitionBy(*key).orderBy("sid")
+            return rows.select("sig", "part", "sid", F.lag("sid").over(by).alias("prev"), F.first("sid").over(by).alias("first"))
+
+        rows = neighbours(named, "sig", "part").where("prev <> sid or (prev is null and part >= 0)")
+        rows = keep(rows, "jaccard-keys")
+        heads = neighbours(rows.where("prev is null"), "sig")
+        both = rows.where("prev is not null").unionByName(heads.where("prev is not null"))
+        return both.select("sig", "sid", "first", "prev", (F.col("part") >= 0).alias("cut"))
+
+    def rivals(self, keyed: DataFrame, node: DataFrame) -> DataFrame:
+        """The sets of keys with several components, in pairs of blocks (sig, bx, by), each pair's rows together."""
+        member = keyed.select("sig", "sid", "cut").unionByName(
+            keyed.select("sig", F.col("first").alias("sid"), "cut")
+        ).distinct()
+        member = member.join(node, "sid")
+        mixed = member.groupBy("sig").agg(
+            F.count(F.lit(1)).alias("k"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("cut").alias("any_cut")
+        ).where("(k > 3 or (k > 2 and any_cut)) and lo <> hi")
+        mixed = mixed.select("sig", F.ceil(F.col("k") / float(BLOCK_ROWS)).cast("int").alias("blocks"))
+        member = member.drop("cut").join(mixed, "sig")
+        member = member.withColumn("blk", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+        member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        member = member.select(
+            "sig", "sid", "comp", "blk", F.least("blk", "other").alias("bx"), F.greatest("blk", "other").alias("by")
+        ).join(self.sets.select("sid", "n", "sketch"), "sid")
+        member = member.select("sig", "bx", "by", "blk", "sid", "comp", "n", "sketch")
+        return member.repartition("sig", "bx", "by").sortWithinPartitions("sig", "bx", "by")
+
+    def forest(self, rivals: DataFrame) -> DataFrame:
+        """Links (a, b) between components, enough to join all that have linked sets in a block of ``rivals``."""
+        block = ["sig", "bx", "by"]
+        schema = "sig long, bx int, by int, blk int, sid long, comp long, n long"
+        doubt = keep(rivals.mapInPandas(_doubtful, schema), "jaccard-doubtful")
+        ids = doubt.select("sid").distinct().join(self.sets.select("sid", F.col("rep").alias("doc_id")), "sid")
+        few = ids.count() <= BROADCAST_IDS
+        ids = ids.select("doc_id").distinct()
+        texts = self.texts.join(F.broadcast(ids) if few else ids, "doc_id").select("text")
+        hashes = texts.mapInPandas(_hashes(self.words), "sid long, shingles binary")
+        if self.any_repeated:
+            hashes = hashes.groupBy("sid").agg(F.min("shingles").alias("shingles"))
+        # blocks of long sets are cut further, by their shingles
+        cells = doubt.groupBy(*block).agg(F.ceil(F.sum("n") / float(BLOCK_SHINGLES)).cast("int").alias("cells"))
+        rows = doubt.join(cells, block).withColumn("sub", F.pmod(F.xxhash64("sid", F.lit(1)), F.col("cells")).cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+        rows = rows.withColumn("sx", F.least("sub", "other")).withColumn("sy", F.greatest("sub", "other"))
+        rows = rows.drop("other", "cells").join(hashes, "sid")
+        parts = [*block, "sx", "sy"]
+        dealt = rows.repartition(*parts).sortWithinPartitions(*parts)
+        return keep(dealt.mapInPandas(_forest(75), "a long, b long").distinct(), "jaccard-forest")
 
     def nodes(self, edges: DataFrame) -> DataFrame:
         """(sid, comp): every set with the smallest doc_id of its component."""
@@ -298,7 +468,7 @@ class _Join:
         near = keep(full.mapInPandas(_near, "a long, b long"), "jaccard-near")
         ids = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         few = ids.count() <= BROADCAST_IDS
-        texts = self.docs.join(F.broadcast(ids) if few else ids, "doc_id")
+        texts = self.texts.join(F.broadcast(ids) if few else ids, "doc_id")
         full = near.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
         full = full.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
         return keep(full.mapInPandas(_verify(self.words, 75), "a long, b long"), "jaccard-links")
@@ -314,6 +484,8 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
         F.col("sid").alias("a"), F.col("m.other").alias("b")
     )
     edges = join.verified(best)
+    if join.any_repeated:
+        edges = edges.unionByName(join.same_document())
     node = join.nodes(edges)
     # neighbours in a key that were not the best, across components
     na, nb = (node.select(F.col("sid").alias(c), F.col("comp").alias(f"comp_{c}")) for c in "ab")
@@ -323,25 +495,23 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     if not more.isEmpty():
         edges = edges.unionByName(more)
         node = join.nodes(edges)
-    # all other pairs of a key, across the components that are left
-    member = keyed.select("sig", "sid").unionByName(keyed.select("sig", F.col("first").alias("sid")).distinct())
-    member = member.join(node, "sid")
-    mixed = member.groupBy("sig").agg(
-        F.count(F.lit(1)).alias("k"), F.min("comp").alias("lo"), F.max("comp").alias("hi")
-    ).where("k > 3 and lo <> hi").select("sig", F.ceil(F.col("k") / float(BLOCK_ROWS)).cast("int").alias("blocks"))
-    member = member.join(mixed, "sig").withColumn("blk", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-    member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    member = member.select(
-        "sig", "sid", "comp", "blk", F.least("blk", "other").alias("bx"), F.greatest("blk", "other").alias("by")
-    ).join(join.sets.select("sid", "n", "sketch"), "sid")
-    dealt = member.repartition("sig", "bx", "by").sortWithinPartitions("sig", "bx", "by")
-    others = dealt.mapInPandas(_close_pairs, "a long, b long")
-    more = join.verified(others.distinct())
+    # all other pairs of a key, across the components that are left: the closest of each set, then all
+    more = join.verified(join.rivals(keyed, node).mapInPandas(_nearest, "a long, b long").distinct())
+    if not more.isEmpty():
+        edges = edges.unionByName(more)
+        node = join.nodes(edges)
+    more = join.forest(join.rivals(keyed, node))
     if not more.isEmpty():
         node = join.nodes(edges.unionByName(more))
     named = node.select("sid", F.col("comp").alias("component_id"))
     out = join.profile.join(named, "sid", "left")
     alone = F.col("n") == 0
+    if join.any_repeated:
+        # blank rows of a document that has other texts
+        own = out.where("n > 0").join(join.repeated.where("differ").select("doc_id"), "doc_id")
+        own = own.groupBy("doc_id").agg(F.min("component_id").alias("own"))
+        out = out.join(own, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "own"))
+        alone = alone & F.col("component_id").isNull()
     return out.select(
         "doc_id",
         F.col("n").alias("n_shingles"),

@@ -161,6 +161,41 @@ def test_parity_sketch_bounds_the_difference():
         assert _hamming(_sketch(u), _sketch(v)) <= len(np.setxor1d(u, v))
 
 
+def test_ngram_join_repeated_ids(spark):
+    """A doc_id with several texts is one document: it has one component, and links the texts' other documents."""
+    from tabula.llm.ngram_join import jaccard_components
+
+    one, two = "a b c d e f g h", "k l m n o p q r"
+    df = data.frame(spark, [one, two, two, one, None, "  "], ids=[5, 5, 3, 9, 5, 3])
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_components(df).collect())
+    assert got == [(3, 0, 3), (3, 4, 3), (5, 0, 3), (5, 4, 3), (5, 4, 3), (9, 4, 3)]
+
+
+@pytest.mark.parametrize("rows,shingles_,columns", [(1024, 1 << 19, 4096), (3, 200, 16)])
+def test_ngram_join_of_many_near_copies(spark, monkeypatch, rows, shingles_, columns):
+    """A large group of near copies at all distances, whose members are linked only through some others."""
+    import random
+
+    from tabula.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", rows)
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", shingles_)
+    monkeypatch.setattr(ngram_join, "MATRIX_COLUMNS", columns)
+    rng = random.Random(3)
+    base = data.words(rng, 70)
+    texts = [" ".join(base)]
+    for _ in range(160):
+        share = rng.choice((0.01, 0.02, 0.03, 0.04, 0.05))
+        texts.append(" ".join(w if rng.random() >= share else rng.choice("uvwxyz") * 3 for w in base))
+    ids = [None if i % 9 == 4 else i for i in range(len(texts))]
+    df = data.frame(spark, texts, ids=ids)
+    sets = {i: shingles(t) for i, t in zip(ids, texts) if i is not None}
+    want = linked(sets)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(df).collect() if r["doc_id"] is not None}
+    assert got == want
+    assert 3 < len(set(want.values())) < len(want) - 20
+
+
 # -- sharding
 
 
