@@ -26,6 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import components, keep
 
@@ -179,7 +180,10 @@ def near_duplicates(
     vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vec_col: str = "embedding"
 ) -> DataFrame:
     """(id, n_links, component_id, kept) for every row of ``vectors``."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<float>").alias("embedding"))
+    # floats stay as they are, all other numbers are doubles: nothing is rounded before the comparison
+    kind = vectors.schema[vec_col].dataType
+    kind = "array<float>" if kind == T.ArrayType(T.FloatType(), kind.containsNull) else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast(kind).alias("embedding"))
     wide = F.col("embedding").cast("array<double>")
     bad = F.exists(wide, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     valid = F.col("id").isNotNull() & F.col("embedding").isNotNull() & ~bad & F.exists(wide, lambda x: x != 0)

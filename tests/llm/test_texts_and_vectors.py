@@ -216,6 +216,28 @@ def test_lattice_links_by_brute_force(spark, monkeypatch):
     assert lattice.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_lattice_compares_doubles_as_doubles(spark):
+    """Pairs within 3e-9 of the threshold, and vectors that differ by less than a float can hold."""
+    import numpy as np
+
+    from tabula.llm.lattice import near_duplicates
+
+    rng = np.random.default_rng(5)
+    rows, over = [], {}
+    for i in range(0, 80, 2):
+        a, b = np.linalg.qr(rng.standard_normal((32, 2)))[0].T
+        cos = 0.9 + (3e-9 if i % 4 else -3e-9)
+        rows += [(i, a.tolist()), (i + 1, (cos * a + np.sqrt(1 - cos * cos) * b).tolist())]
+        over[i] = bool(i % 4)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["id"]: r["component_id"] for r in near_duplicates(df).collect()}
+    assert not any(got[i + 1] == i for i, x in over.items() if not x)
+    found = [got[i + 1] == i for i, x in over.items() if x]
+    assert sum(found) >= 0.8 * len(found)
+    same = spark.createDataFrame([(1, [1.0, 1e-12]), (2, [1.0, 2e-12])], "vec_id long, embedding array<double>")
+    assert sorted((r["n_links"], r["component_id"]) for r in near_duplicates(same).collect()) == [(1, 1), (1, 1)]
+
+
 def test_decoder_finds_the_nearest_lattice_point():
     from tabula.llm.lattice import ROOTS, decode
 
