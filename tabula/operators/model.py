@@ -262,12 +262,7 @@ def search_grid_per_label(df: DataFrame, cols: Sequence[str], cand: Candidate, l
 
 def refit_per_label(df: DataFrame, cols: Sequence[str], cand: Candidate, point: dict, labels: Sequence[str]) -> dict:
     """The candidate at a grid point, fitted on all rows for each label."""
-    return {
-        lab: selection_pipeline(cols, with_params(cand.estimator, point, labelCol=lab)).fit(
-            class_weights(df, lab) if cand.weighted else df
-        )
-        for lab in labels
-    }
+    return _each_label(df, cols, labels, lambda lab: with_params(cand.estimator, point, labelCol=lab), cand.weighted)
 
 
 def _search(df, cols, cand: Candidate, labels, score: Callable, fold_col: str, parallelism: int, frames: FoldFrames | None):
@@ -339,7 +334,17 @@ def select_model(results: Sequence[tuple[str, float, object]]):
 
 def fit_per_label(df: DataFrame, cols: Sequence[str], labels: Sequence[str], make: Callable[[str], object]) -> dict:
     """O-97 / O-98: one binary pipeline per label column over the same (cached) frame."""
-    return {lab: selection_pipeline(cols, make(lab)).fit(df) for lab in labels}
+    return _each_label(df, cols, labels, make)
+
+
+def _each_label(df: DataFrame, cols: Sequence[str], labels: Sequence[str], make: Callable[[str], object],
+                weighted: bool = False) -> dict:
+    """A fitted pipeline per label. Labels have no part in the selection of features, so it is fitted once for all."""
+    front = Pipeline(stages=selection_pipeline(cols, None).getStages()[:-1]).fit(df)
+    rows = front.transform(df)
+    return {
+        lab: PipelineModel([*front.stages, make(lab).fit(class_weights(rows, lab) if weighted else rows)]) for lab in labels
+    }
 
 
 def predict_per_label(models: dict, df: DataFrame, keep: Sequence[str]) -> DataFrame:

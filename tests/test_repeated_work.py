@@ -34,3 +34,18 @@ def test_prepared_rows_are_written_once(spark):
     assert "Join" not in plan(models.entities(spark, SF_SMALL))
     x, _, _ = models._prepared(spark, SF_SMALL, "regression")
     assert "FileScan" in plan(x) and "Aggregate" not in plan(x)
+
+
+def test_features_are_selected_once_for_all_labels(spark, table, monkeypatch):
+    fits, fit = [], VarianceThresholdSelector.fit
+    monkeypatch.setattr(VarianceThresholdSelector, "fit", lambda self, df, *a: fits.append(1) or fit(self, df, *a))
+    cols = ["x", "z", "w", "same"]
+
+    def make(lab):
+        return ML.RandomForestClassifier(labelCol=lab, featuresCol="features", seed=1, numTrees=3, maxDepth=3)
+
+    models = ML.fit_per_label(table, cols, ["a", "b"], make)
+    assert len(fits) == 1
+    for lab, model in models.items():
+        own = ML.selection_pipeline(cols, make(lab)).fit(table)
+        assert own.stages[-1].toDebugString == model.stages[-1].toDebugString.replace(model.stages[-1].uid, own.stages[-1].uid)
