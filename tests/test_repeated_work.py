@@ -28,6 +28,25 @@ def table(spark):
     return df.withColumn("y", 2 * F.col("x") + F.when(F.col("z") > 0.5, 3.0).otherwise(0.0) + F.col("w")).cache()
 
 
+def test_first_rows_do_not_pass_through_the_driver(spark):
+    rows = [(1, 2, "b"), (1, 1, "a"), (2, 5, "c"), (None, 3, "d"), (None, 4, "e")]
+    out = dedupe_first(spark.createDataFrame(rows, "id long, seq long, v string"), "id", "seq")
+    assert "Broadcast" not in plan(out)
+    assert sorted(r["v"] for r in out.collect()) == ["a", "c", "d"]
+
+
+def test_fit_finds_first_rows_once(spark, table, monkeypatch):
+    from tabula.plans import preprocess
+
+    seen = []
+    monkeypatch.setattr(preprocess, "fit_coercion", lambda df, cols: seen.append(plan(df)) or {})
+    rows = table.select("id", F.lit("c").alias("cohort"), "x", "z", "y").unionAll(
+        table.limit(3).select("id", F.lit("d").alias("cohort"), "x", "z", "y")
+    )
+    fit_preprocess(rows, PrepSpec(id_col="id", cohort_col="cohort", targets=["y"], has_duplicates=True, seq_col="x"))
+    assert "Join" not in seen[0] and "FileScan" in seen[0]
+
+
 def test_prepared_rows_are_written_once(spark):
     from tabula.catalog import models
 
