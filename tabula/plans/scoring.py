@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.encode import fit_categories, fit_medians, impute, one_hot
+from ..operators.ensemble import FOREST_REGRESSION, KINDS, coalition_attribution
 from ..operators.relational import align_features, categorical_columns, numeric_columns
 from ..operators.runlog import best_run, run_log_append, run_log_scan
 from ..operators.split import sample_n
@@ -115,6 +116,10 @@ def permutation_shapley(model, x: DataFrame, id_col: str, features: Sequence[str
     # rank of each feature inside each permutation (position 0..nf-1)
     ranks = [[p.index(j) for j in range(nf)] for p in perms]
     bg_rows = sample_n(x.select(id_col, *feats), id_col, n_background).collect()  # ≤ n_background rows
+    if KINDS.get(type(model.stages[-1]).__name__) == FOREST_REGRESSION:
+        background = [[float(r[f]) if r[f] is not None else 0.0 for f in feats] for r in bg_rows]
+        parts = coalition_attribution(model, x, id_col, feats, perms, background)
+        return parts.groupBy(id_col, "feature").agg(F.avg("attribution").alias("attribution"))
     bg = F.array(*[F.array(*[F.lit(float(r[f]) if r[f] is not None else 0.0) for f in feats]) for r in bg_rows])
     rank_arr = F.array(*[F.array(*[F.lit(v) for v in rk]) for rk in ranks])
     perm_arr = F.array(*[F.array(*[F.lit(v) for v in p]) for p in perms])

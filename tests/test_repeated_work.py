@@ -68,3 +68,17 @@ def test_features_are_selected_once_for_all_labels(spark, table, monkeypatch):
     for lab, model in models.items():
         own = ML.selection_pipeline(cols, make(lab)).fit(table)
         assert own.stages[-1].toDebugString == model.stages[-1].toDebugString.replace(model.stages[-1].uid, own.stages[-1].uid)
+
+
+def test_coalitions_stay_in_their_task(spark, table, monkeypatch):
+    cols = ["x", "z", "w", "same"]
+    model = ML.selection_pipeline(cols, ML.RandomForestRegressor(labelCol="y", seed=2, numTrees=4, maxDepth=4)).fit(table)
+    rows = table.unionAll(table.limit(4)).withColumn("id", F.when(F.col("id") > 5, F.col("id"))).withColumn(
+        "z", F.when(F.col("id") != 9, F.col("z"))
+    )
+    out = scoring.permutation_shapley(model, rows, "id", cols, n_perm=3, n_background=4)
+    assert "Window" not in plan(out)
+    got = {(r["id"], r["feature"]): r["attribution"] for r in out.collect()}
+    monkeypatch.setattr(scoring, "KINDS", {})  # every coalition as a row of its own
+    want = {(r["id"], r["feature"]): r["attribution"] for r in scoring.permutation_shapley(model, rows, "id", cols, 3, 4).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
