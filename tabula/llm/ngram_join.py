@@ -17,9 +17,10 @@ of its key. A key of a chunk whose rarest shingle is common is cut into parts by
 itself, and the parts' first documents are ordered once more, so no task holds a whole common key. Equal sets are one
 document before that. For each document the pair that shares most keys is verified first, then the other neighbours;
 pairs within one component need no verification. What remains, pairs across components that share a key, is compared
-by sketch in blocks of a key's documents, twice: first each document of a block proposes its closest one of another
-component; then, with the components that these links leave, the documents that still have a partner within
-the bound meet with their shingle sets, and a block's exact links leave the task as a forest of its components. So no
+by sketch in blocks of a key's documents: each document of a block that has a partner of another component within the
+bound proposes the closest one; of these documents, those that still have such a partner with the components that these
+links leave meet with their shingle sets, and a block's exact links leave the task as a forest of its components. Near
+copies share most of their keys, so of keys and blocks with the same documents one is compared. So no
 link between components is lost, and what a task emits is at most a row for each row it reads. A pair
 is verified by its size bound, then the Hamming distance of band-sized sketches (folded to the smaller), then the exact
 intersection of the shingle sets.
@@ -47,6 +48,8 @@ from .shingles import BASE, WORDS, mix64, shingle_sets
 COUNTERS, SLICES = 1 << 18, 16
 #: Sets of a key that one task compares with as many others.
 BLOCK_ROWS = 1024
+#: What names a pair of blocks of a key.
+BLOCK = ["sig", "bx", "by"]
 #: Shingles of the sets that one task compares exactly with as many others.
 BLOCK_SHINGLES = 1 << 19
 #: Columns of a block's incidence matrix that are multiplied at once.
@@ -164,11 +167,11 @@ def _leading(
 
 def _keys(words: int, common, sets: int):
     """(sig, part, sid) of the leading chunks of every distinct set of the task. ``common``: broadcast counters. A key
-    that more than BLOCK_ROWS sets may share has parts by the sets' names; others have the part -1."""
+    that many sets may share has parts by the sets' names; others have the part -1."""
 
-    def rows(found: list, sids: list) -> pd.DataFrame:
+    def rows(found: list, sids: list, most: int) -> pd.DataFrame:
         names = np.repeat(np.array(sids, dtype=np.int64), [len(x) for x, _ in found])
-        parts = -(-np.concatenate([m for _, m in found]) // BLOCK_ROWS)
+        parts = -(-np.concatenate([m for _, m in found]) // most)
         part = np.where(parts > 1, (names & 0x7FFFFFFF) % np.maximum(parts, 1), -1)
         sigs = np.concatenate([x for x, _ in found]).astype(np.int64)
         return pd.DataFrame({"sig": sigs, "part": part.astype(np.int32), "sid": names})
@@ -176,6 +179,8 @@ def _keys(words: int, common, sets: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = common.value
         usual = max(4.0 * counts.mean(), 16.0)
+        # a counter holds many rare shingles where there are many documents: what is usual is no common key
+        most = max(BLOCK_ROWS, int(usual))
         heat = np.minimum(np.floor(np.log2(np.maximum(counts / usual, 1.0))), 31).astype(np.uint64)
         seen: set[int] = set()
         sigs, sids = [], []
@@ -192,10 +197,10 @@ def _keys(words: int, common, sets: int):
                     sigs.append(_leading(u, hashed, hot, many, sets, band))
                     sids.append(sid)
                 if len(sigs) >= 1000:
-                    yield rows(sigs, sids)
+                    yield rows(sigs, sids, most)
                     sigs, sids = [], []
         if sigs:
-            yield rows(sigs, sids)
+            yield rows(sigs, sids, most)
 
     return run
 
@@ -253,25 +258,24 @@ def _close(g: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For each set of a block with close ones of other components the closest: at most a row for each row read."""
-    for groups in whole_groups(batches, ["sig", "bx", "by"]):
+    """The rows of sets that have close ones of other components in their block, with the closest (``other``)."""
+    for groups in whole_groups(batches, BLOCK):
         found = []
         for g in groups:
             i, j, apart = _close(g)
             if len(i):
+                sid = g["sid"].to_numpy()
                 one, other, apart = np.r_[i, j], np.r_[j, i], np.r_[apart, apart]
-                order = np.lexsort([other, apart, one])
+                order = np.lexsort([sid[other], apart, one])
                 best = order[np.r_[True, np.diff(one[order]) != 0]]
-                sid = g["sid"].to_numpy()
-                found.append(np.stack([sid[one[best]], sid[other[best]]], axis=1))
+                found.append(g.iloc[one[best]].assign(other=sid[other[best]]))
         if found:
-            pairs = np.concatenate(found)
-            yield pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)}).drop_duplicates()
+            yield pd.concat(found).drop(columns=["sketch", "comp", "n"])
 
 
 def _doubtful(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The rows of sets that have a close one of another component in their block."""
-    for groups in whole_groups(batches, ["sig", "bx", "by"]):
+    for groups in whole_groups(batches, BLOCK):
         found = [g.iloc[np.unique(np.r_[i, j])] for g in groups for i, j, _ in [_close(g)] if len(i)]
         if found:
             yield pd.concat(found).drop(columns="sketch")
@@ -328,7 +332,7 @@ def _forest(percent: int):
         return out
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for groups in whole_groups(batches, ["sig", "bx", "by", "sx", "sy"]):
+        for groups in whole_groups(batches, [*BLOCK, "sx", "sy"]):
             found = [e for g in groups for e in one(g)]
             if found:
                 yield pd.DataFrame(found, columns=["a", "b"]).drop_duplicates()
@@ -365,6 +369,11 @@ def _verify(words: int, percent: int):
     return run
 
 
+def _same_rows(*cols: str) -> list:
+    """Aggregates that are alike where groups have the same rows: two hashes over ``cols``."""
+    return [F.bit_xor(F.xxhash64(*cols)).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), *cols)).alias("x2")]
+
+
 class _Join:
     def __init__(self, docs: DataFrame, words: int):
         self.docs, self.words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), words
@@ -418,21 +427,35 @@ class _Join:
         ).distinct()
         member = member.join(node, "sid")
         mixed = member.groupBy("sig").agg(
-            F.count(F.lit(1)).alias("k"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("cut").alias("any_cut")
+            F.count(F.lit(1)).alias("k"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("cut").alias("any_cut"),
+            *_same_rows("sid"),
         ).where("(k > 3 or (k > 2 and any_cut)) and lo <> hi")
-        mixed = mixed.select("sig", F.ceil(F.col("k") / float(BLOCK_ROWS)).cast("int").alias("blocks"))
+        mixed = mixed.groupBy("k", "x1", "x2").agg(F.min("sig").alias("sig")).select("sig", F.ceil(F.col("k") / float(BLOCK_ROWS)).cast("int").alias("blocks"))
         member = member.drop("cut").join(mixed, "sig")
         member = member.withColumn("blk", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
         member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         member = member.select(
-            "sig", "sid", "comp", "blk", F.least("blk", "other").alias("bx"), F.greatest("blk", "other").alias("by")
-        ).join(self.sets.select("sid", "n", "sketch"), "sid")
-        member = member.select("sig", "bx", "by", "blk", "sid", "comp", "n", "sketch")
-        return member.repartition("sig", "bx", "by").sortWithinPartitions("sig", "bx", "by")
+            "sig", F.least("blk", "other").alias("bx"), F.greatest("blk", "other").alias("by"), "blk", "sid", "comp"
+        )
+        return self.dealt(member)
+
+    def dealt(self, member: DataFrame) -> DataFrame:
+        """Rows (sig, bx, by, blk, sid, comp) with their sizes and sketches, each pair of blocks together."""
+        member = member.join(self.sets.select("sid", "n", "sketch"), "sid")
+        member = member.select(*BLOCK, "blk", "sid", "comp", "n", "sketch")
+        return member.repartition(*BLOCK).sortWithinPartitions(*BLOCK)
+
+    def still_rivals(self, close: DataFrame, node: DataFrame) -> DataFrame:
+        """As ``rivals``, from the rows that had a close one. Components only grow, so no other rows have one now."""
+        member = close.join(node, "sid")
+        mixed = member.groupBy(*BLOCK).agg(
+            F.count(F.lit(1)).alias("k"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), *_same_rows("sid", "blk")
+        ).where("lo <> hi")
+        mixed = mixed.groupBy("bx", "by", "k", "x1", "x2").agg(F.min("sig").alias("sig")).select(*BLOCK)
+        return self.dealt(member.join(mixed, BLOCK))
 
     def forest(self, rivals: DataFrame) -> DataFrame:
         """Links (a, b) between components, enough to join all that have linked sets in a block of ``rivals``."""
-        block = ["sig", "bx", "by"]
         schema = "sig long, bx int, by int, blk int, sid long, comp long, n long"
         doubt = keep(rivals.mapInPandas(_doubtful, schema), "jaccard-doubtful")
         ids = doubt.select("sid").distinct().join(self.sets.select("sid", F.col("rep").alias("doc_id")), "sid")
@@ -443,12 +466,12 @@ class _Join:
         if self.any_repeated:
             hashes = hashes.groupBy("sid").agg(F.min("shingles").alias("shingles"))
         # blocks of long sets are cut further, by their shingles
-        cells = doubt.groupBy(*block).agg(F.ceil(F.sum("n") / float(BLOCK_SHINGLES)).cast("int").alias("cells"))
-        rows = doubt.join(cells, block).withColumn("sub", F.pmod(F.xxhash64("sid", F.lit(1)), F.col("cells")).cast("int"))
+        cells = doubt.groupBy(*BLOCK).agg(F.ceil(F.sum("n") / float(BLOCK_SHINGLES)).cast("int").alias("cells"))
+        rows = doubt.join(cells, BLOCK).withColumn("sub", F.pmod(F.xxhash64("sid", F.lit(1)), F.col("cells")).cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
         rows = rows.withColumn("sx", F.least("sub", "other")).withColumn("sy", F.greatest("sub", "other"))
         rows = rows.drop("other", "cells").join(hashes, "sid")
-        parts = [*block, "sx", "sy"]
+        parts = [*BLOCK, "sx", "sy"]
         dealt = rows.repartition(*parts).sortWithinPartitions(*parts)
         return keep(dealt.mapInPandas(_forest(75), "a long, b long").distinct(), "jaccard-forest")
 
@@ -496,11 +519,13 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
         edges = edges.unionByName(more)
         node = join.nodes(edges)
     # all other pairs of a key, across the components that are left: the closest of each set, then all
-    more = join.verified(join.rivals(keyed, node).mapInPandas(_nearest, "a long, b long").distinct())
+    schema = "sig long, bx int, by int, blk int, sid long, other long"
+    close = keep(join.rivals(keyed, node).mapInPandas(_nearest, schema), "jaccard-close")
+    more = join.verified(close.select(F.least("sid", "other").alias("a"), F.greatest("sid", "other").alias("b")).distinct())
     if not more.isEmpty():
         edges = edges.unionByName(more)
         node = join.nodes(edges)
-    more = join.forest(join.rivals(keyed, node))
+    more = join.forest(join.still_rivals(close, node))
     if not more.isEmpty():
         node = join.nodes(edges.unionByName(more))
     named = node.select("sid", F.col("comp").alias("component_id"))
