@@ -475,11 +475,12 @@ class _Join:
         dealt = rows.repartition(*parts).sortWithinPartitions(*parts)
         return keep(dealt.mapInPandas(_forest(75), "a long, b long").distinct(), "jaccard-forest")
 
-    def nodes(self, edges: DataFrame) -> DataFrame:
-        """(sid, comp): every set with the smallest doc_id of its component."""
-        comps = components(edges).withColumnRenamed("node", "rep")
-        found = self.sets.select("sid", "rep").join(comps, "rep", "left")
-        return keep(found.select("sid", F.coalesce("component", "rep").alias("comp")), "jaccard-nodes")
+    def nodes(self, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(sid, comp): every set with the smallest doc_id of its component; and as few links as join what ``edges`` join."""
+        comps = keep(components(edges), "jaccard-components")
+        found = self.sets.select("sid", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
+        node = keep(found.select("sid", F.coalesce("component", "rep").alias("comp")), "jaccard-nodes")
+        return node, comps.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The linked pairs (a, b) among pairs (a, b) of set names, as smallest doc_ids of their sets."""
@@ -509,25 +510,23 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     edges = join.verified(best)
     if join.any_repeated:
         edges = edges.unionByName(join.same_document())
-    node = join.nodes(edges)
+    node, edges = join.nodes(edges)
     # neighbours in a key that were not the best, across components
     na, nb = (node.select(F.col("sid").alias(c), F.col("comp").alias(f"comp_{c}")) for c in "ab")
     rest = pairs.select(F.col("sid").alias("a"), F.col("other").alias("b")).join(best, ["a", "b"], "left_anti")
     rest = rest.join(na, "a").join(nb, "b").where("comp_a <> comp_b")
     more = join.verified(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     if not more.isEmpty():
-        edges = edges.unionByName(more)
-        node = join.nodes(edges)
+        node, edges = join.nodes(edges.unionByName(more))
     # all other pairs of a key, across the components that are left: the closest of each set, then all
     schema = "sig long, bx int, by int, blk int, sid long, other long"
     close = keep(join.rivals(keyed, node).mapInPandas(_nearest, schema), "jaccard-close")
     more = join.verified(close.select(F.least("sid", "other").alias("a"), F.greatest("sid", "other").alias("b")).distinct())
     if not more.isEmpty():
-        edges = edges.unionByName(more)
-        node = join.nodes(edges)
+        node, edges = join.nodes(edges.unionByName(more))
     more = join.forest(join.still_rivals(close, node))
     if not more.isEmpty():
-        node = join.nodes(edges.unionByName(more))
+        node, _ = join.nodes(edges.unionByName(more))
     named = node.select("sid", F.col("comp").alias("component_id"))
     out = join.profile.join(named, "sid", "left")
     alone = F.col("n") == 0
