@@ -21,7 +21,7 @@ def entities(spark):
 
 
 @pytest.mark.parametrize("query", [
-    models.q_loco_multi_output,
+    models.q_loco_multi_output, models.q_loco_multilabel,
 ])
 def test_label_experiments_search_whole_grids(spark, monkeypatch, query):
     """The search itself is replaced by a record of what it was given: 200 trees to depth 30 take too long here."""
